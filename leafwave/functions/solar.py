@@ -102,15 +102,17 @@ def with_solar_position(
     )
     zen = rad(c("solar_zenith"))
     raw = deg(F.acos(_clip1(F.try_divide(sl * cos(zen) - sin(c("__decl")), cl * sin(zen)))))
-    out = out.withColumns(
-        {
-            "solar_azimuth": F.when(c("__ha") > 0, raw).otherwise(F.lit(360.0) - raw),
-            "solar_elevation": F.lit(90.0) - c("solar_zenith"),
-        }
+    out = out.withColumn("__az", F.when(c("__ha") > 0, raw).otherwise(F.lit(360.0) - raw))
+    # One-element explode: without it a filter on the elevation is pushed down
+    # through all the projections above, each intermediate copied where it is
+    # used, into an expression too large to compile.
+    sun = F.struct(
+        c("solar_zenith"),
+        c("__az").alias("solar_azimuth"),
+        (F.lit(90.0) - c("solar_zenith")).alias("solar_elevation"),
     )
-    return out.drop(
-        "__jc", "__long", "__anom", "__ecc", "__node", "__obliq", "__applong", "__tilt",
-        "__decl", "__y", "__solar_time", "__ha",
+    return out.select(*df.columns, F.explode(F.array(sun)).alias("__sun")).select(
+        *df.columns, "__sun.*"
     )
 
 

@@ -47,7 +47,7 @@ def rows_of(pdf) -> list[tuple]:
             elif hasattr(v, "tolist"):
                 vals.append(str(v.tolist()))
             elif hasattr(v, "isoformat"):
-                vals.append(v.isoformat()[:26])
+                vals.append((v.isoformat() + "T00:00:00")[:19] if len(v.isoformat()) == 10 else v.isoformat()[:26])
             elif isinstance(v, float):
                 vals.append(v)
             else:
