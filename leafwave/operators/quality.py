@@ -108,3 +108,15 @@ def clock_check(clock: DataFrame, min_coverage: float = 80.0) -> DataFrame:
     return out.withColumn(
         "usable", (F.col("valid_percent") >= min_coverage) & F.col("epochs_monotonic")
     )
+
+
+def distribution_summary(
+    df: DataFrame, var: str, keys: Sequence[str], probs: Sequence[float] = (0.05, 0.25, 0.5, 0.75, 0.95),
+    epsilon: float = 0.01, bins: int = 20,
+) -> DataFrame:
+    """Approximate quantiles with rank error ``epsilon`` and a histogram; both are mergeable sketches."""
+    return df.where(F.col(var).isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx(var, list(probs), int(1 / epsilon)).alias("quantiles"),
+        F.histogram_numeric(var, F.lit(bins)).alias("histogram"),
+    )
