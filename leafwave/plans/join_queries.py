@@ -34,6 +34,12 @@ def ephem(spark, sf):
     )
 
 
+def metres(df, digits=3):
+    """Positions to the millimetre, everything else to six digits."""
+    out = df.withColumns({p: F.round(p, digits) for p in "XYZ" if p in df.columns})
+    return rounded(out)
+
+
 def positions(spark, sf):
     return ephem(spark, sf).drop("clock_offset")
 
@@ -46,7 +52,6 @@ def targets(spark, sf):
     return passes(spark, sf).select(sid_part("sid", 0).alias("sv"), "epoch").distinct()
 
 
-WEEK = 7 * 86400.0
 NEAR_SQL = f"""WITH {TARGET_SQL}, {EPHEM_SQL},
 b AS (SELECT t.sv, t.epoch, e.epoch AS eb, e.X AS xb FROM targets t ASOF LEFT JOIN ephem e ON t.sv = e.sv AND t.epoch >= e.epoch),
 a AS (SELECT t.sv, t.epoch, e.epoch AS ea, e.X AS xa FROM targets t ASOF LEFT JOIN ephem e ON t.sv = e.sv AND t.epoch <= e.epoch),
@@ -55,20 +60,20 @@ n AS (SELECT *, (eb IS NULL OR (ea IS NOT NULL AND epoch_us(ea)-epoch_us(epoch)
 
 @query(
     "asof_nearest",
-    NEAR_SQL + " SELECT sv, epoch, CASE WHEN later THEN ea ELSE eb END AS epoch_matched, round(CASE WHEN later THEN xa ELSE xb END,6) AS X FROM n WHERE ea IS NOT NULL OR eb IS NOT NULL",
+    NEAR_SQL + " SELECT sv, epoch, CASE WHEN later THEN ea ELSE eb END AS epoch_matched, round(CASE WHEN later THEN xa ELSE xb END,3) AS X FROM n WHERE ea IS NOT NULL OR eb IS NOT NULL",
 )
 def asof_nearest(spark, sf):
     out = asof.nearest_asof(targets(spark, sf), positions(spark, sf), ["sv"], ["X"], block_seconds=30 * 86400.0)
-    return rounded(out)
+    return metres(out)
 
 
 @query(
     "asof_regular_grid",
-    f"WITH {TARGET_SQL}, {EPHEM_SQL} SELECT t.sv, t.epoch, round(X,6) AS X, round(Y,6) AS Y, round(Z,6) AS Z FROM targets t JOIN ephem e ON t.sv = e.sv AND (epoch_us(t.epoch)+43200000000)//86400000000 = (epoch_us(e.epoch)+43200000000)//86400000000",
+    f"WITH {TARGET_SQL}, {EPHEM_SQL} SELECT t.sv, t.epoch, round(X,3) AS X, round(Y,3) AS Y, round(Z,3) AS Z FROM targets t JOIN ephem e ON t.sv = e.sv AND (epoch_us(t.epoch)+43200000000)//86400000000 = (epoch_us(e.epoch)+43200000000)//86400000000",
 )
 def asof_regular(spark, sf):
     out = asof.nearest_on_regular_grid(targets(spark, sf), positions(spark, sf), 86400.0, ["sv"])
-    return rounded(out.drop("epoch_matched"))
+    return metres(out.drop("epoch_matched"))
 
 
 @query(
@@ -89,10 +94,10 @@ vel AS (SELECT sv, epoch, X, Y, Z, """ + ", ".join(
 
 @query(
     "central_velocity",
-    f"WITH {VEL_SQL} SELECT sv, epoch, round(X,6) AS X, round(Y,6) AS Y, round(Z,6) AS Z, round(Vx,6) AS Vx, round(Vy,6) AS Vy, round(Vz,6) AS Vz FROM vel",
+    f"WITH {VEL_SQL} SELECT sv, epoch, round(X,3) AS X, round(Y,3) AS Y, round(Z,3) AS Z, round(Vx,6) AS Vx, round(Vy,6) AS Vy, round(Vz,6) AS Vz FROM vel",
 )
 def central_velocity(spark, sf):
-    return rounded(ip.central_velocity(positions(spark, sf), block_seconds=90 * 86400.0))
+    return metres(ip.central_velocity(positions(spark, sf), block_seconds=90 * 86400.0))
 
 
 def _hermite_sql() -> str:
@@ -131,11 +136,11 @@ def hermite(spark, sf):
 b AS (SELECT t.sv, t.epoch, e.epoch AS eb, e.X AS xb, e.Z AS zb FROM targets t ASOF LEFT JOIN ephem e ON t.sv = e.sv AND t.epoch >= e.epoch),
 a AS (SELECT t.sv, t.epoch, e.epoch AS ea, e.X AS xa, e.Z AS za FROM targets t ASOF LEFT JOIN ephem e ON t.sv = e.sv AND t.epoch <= e.epoch),
 n AS (SELECT *, CASE WHEN ea = eb THEN 0 ELSE (epoch_us(epoch)-epoch_us(eb))/(epoch_us(ea)-epoch_us(eb)) END AS u FROM b JOIN a USING (sv, epoch))
-SELECT sv, epoch, round(xb+(xa-xb)*u,6) AS X, round(zb+(za-zb)*u,6) AS Z FROM n""",
+SELECT sv, epoch, round(xb+(xa-xb)*u,3) AS X, round(zb+(za-zb)*u,3) AS Z FROM n""",
 )
 def linear(spark, sf):
     out = ip.linear_interpolate(positions(spark, sf), targets(spark, sf), ["X", "Z"], block_seconds=90 * 86400.0)
-    return rounded(out)
+    return metres(out)
 
 
 SEG_SQL = f"""{EPHEM_SQL}, j AS (SELECT sv, epoch, clock_offset, coalesce((abs(clock_offset - lag(clock_offset) OVER w) > 0.1)::INT, 0) AS jump FROM ephem WINDOW w AS (PARTITION BY sv ORDER BY epoch)),
@@ -187,13 +192,13 @@ def sid_report(spark, sf):
     "merge_products",
     f"""WITH {EPHEM_SQL}, p AS (SELECT sv, epoch, X FROM ephem WHERE X >= 5e6), c AS (SELECT sv, epoch, CASE WHEN clock_offset < 0.4 THEN clock_offset END AS clock_offset FROM ephem),
 m AS (SELECT coalesce(p.epoch,c.epoch) AS epoch, coalesce(p.sv,c.sv) AS sv, X, clock_offset FROM p FULL JOIN c ON p.sv = c.sv AND p.epoch = c.epoch)
-SELECT epoch, sv, round(X,6) AS X, round(clock_offset,9) AS clock_offset FROM m WHERE epoch IN (SELECT epoch FROM m WHERE X IS NOT NULL OR clock_offset IS NOT NULL)""",
+SELECT epoch, sv, round(X,3) AS X, round(clock_offset,9) AS clock_offset FROM m WHERE epoch IN (SELECT epoch FROM m WHERE X IS NOT NULL OR clock_offset IS NOT NULL)""",
 )
 def merge_products(spark, sf):
     p = positions(spark, sf).where(F.col("X") >= 5e6).select("sv", "epoch", "X")
     c = clock(spark, sf).withColumn("clock_offset", F.when(F.col("clock_offset") < 0.4, F.col("clock_offset")))
     out = asof.merge_products(p, c)
-    return out.select("epoch", "sv", F.round("X", 6).alias("X"), F.round("clock_offset", 9).alias("clock_offset"))
+    return out.select("epoch", "sv", F.round("X", 3).alias("X"), F.round("clock_offset", 9).alias("clock_offset"))
 
 
 @query(
