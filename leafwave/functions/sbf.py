@@ -68,14 +68,31 @@ NO_OFFSET = (1, 2)
 FDMA = (8, 9, 10, 11)
 
 
+def _svid_parts(svid: int) -> tuple[str, int]:
+    for lo, hi, system, base in SVID_RANGES:
+        if lo <= svid <= hi:
+            return system, svid - base
+    return "?", svid
+
+
+def _lookup(values: list, key: Column) -> Column:
+    """Constant array indexed by a small integer; NULL outside it."""
+    return F.get(F.array(*[F.lit(v) for v in values]), key)
+
+
 def decode_svid(svid: Column) -> Column:
     """struct(system, prn); unknown ids give system '?'."""
-    system, prn = F.lit("?"), svid
-    for lo, hi, letter, base in reversed(SVID_RANGES):
-        inside = svid.between(lo, hi)
-        system = F.when(inside, letter).otherwise(system)
-        prn = F.when(inside, svid - base).otherwise(prn)
-    return F.struct(system.alias("system"), prn.alias("prn"))
+    known = [_svid_parts(i) for i in range(256)]
+    return F.struct(
+        F.coalesce(_lookup([k[0] for k in known], svid), F.lit("?")).alias("system"),
+        F.coalesce(_lookup([k[1] for k in known], svid), svid).alias("prn"),
+    )
+
+
+def sv_of(svid: Column) -> Column:
+    """Satellite name such as G01."""
+    names = ["%s%02d" % _svid_parts(i) for i in range(256)]
+    return F.coalesce(_lookup(names, svid), F.concat(F.lit("?"), svid.cast("string")))
 
 
 def signal_number(type_byte: Column, obs_info: Column) -> Column:
@@ -126,25 +143,25 @@ def doppler2(d1: Column, msb: Column, lsb: Column, freq2: Column, freq1: Column)
     return F.when(~((msb == -16) & (lsb == 0)), value)
 
 
+def _fixed_frequency(n: int) -> float | None:
+    if n not in SIGNALS or n in FDMA:
+        return None
+    system, band, _ = SIGNALS[n]
+    band = "B2b" if band == "B2I" else band
+    return BANDS[system][band][1] if band in BANDS.get(system, {}) else None
+
+
 def carrier_frequency(signal: Column, freq_nr: Column) -> Column:
     """MHz; FDMA carriers need the channel number, the L-band beam has none."""
-    fixed = []
-    for n, (system, band, _) in SIGNALS.items():
-        band = "B2b" if band == "B2I" else band
-        if n not in FDMA and band in BANDS.get(system, {}):
-            fixed += [F.lit(n), F.lit(BANDS[system][band][1])]
     slot = freq_nr - 8
     return (
         F.when(signal.isin(8, 9), F.lit(1602.0) + slot * F.lit(9 / 16))
         .when(signal.isin(10, 11), F.lit(1246.0) + slot * F.lit(7 / 16))
-        .otherwise(F.try_element_at(F.create_map(*fixed), signal))
+        .otherwise(_lookup([_fixed_frequency(n) for n in range(40)], signal))
     )
 
 
 def sid_of(svid: Column, signal: Column) -> Column:
     """``SV|band|code``; NULL for an unknown signal."""
-    suffix = F.create_map(*[F.lit(x) for n, s in SIGNALS.items() for x in (n, f"|{s[1]}|{s[2]}")])
-    sat = decode_svid(svid)
-    prn = sat["prn"].cast("string")
-    sv = F.concat(sat["system"], F.when(F.length(prn) < 2, F.lpad(prn, 2, "0")).otherwise(prn))
-    return F.concat(sv, F.try_element_at(suffix, signal))
+    suffix = [f"|{SIGNALS[n][1]}|{SIGNALS[n][2]}" if n in SIGNALS else None for n in range(40)]
+    return F.concat(sv_of(svid), _lookup(suffix, signal))

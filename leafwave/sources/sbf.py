@@ -181,11 +181,8 @@ def observations(raw: DataFrame) -> DataFrame:
 def sky(raw: DataFrame) -> DataFrame:
     """Receiver-reported directions: (path, epoch, sv, broadcast_theta, broadcast_phi in degrees, rise_set)."""
     rows = raw.where(F.col("kind") == "sky")
-    sat = sc.decode_svid(F.col("svid"))
-    prn = sat["prn"].cast("string")
-    sv = F.concat(sat["system"], F.when(F.length(prn) < 2, F.lpad(prn, 2, "0")).otherwise(prn))
     return rows.select(
-        "path", "epoch", sv.alias("sv"), F.col("a").alias("broadcast_theta"),
+        "path", "epoch", sc.sv_of(F.col("svid")).alias("sv"), F.col("a").alias("broadcast_theta"),
         F.col("b").alias("broadcast_phi"), F.col("c").cast("int").alias("rise_set"),
     )
 
