@@ -1,6 +1,9 @@
 """Nearest-centre cell assignment without a cross join.
 
-The sky is cut into small bins. For each bin a table lists every cell that can
+Grids made of equal bands (equal_area, equal_angle) need no table at all: in a
+band the nearest centre is that of the sector holding the azimuth, and only the
+nearest band and its two neighbours can hold the winner, so three cosines
+decide. For every other grid the sky is cut into small bins. For each bin a table lists every cell that can
 be nearest to any point in it: with c the bin centre, r its radius and d the
 distance from c to its nearest cell, the triangle inequality leaves only cells
 within d + 2r of c. An observation computes its bin arithmetically, meets the
@@ -14,7 +17,7 @@ import math
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leafwave.operators.grids import Grid, create_grid, grid_hash
@@ -44,7 +47,7 @@ class SkyBins:
         self.offsets = np.concatenate([[0], np.cumsum(self.counts)[:-1]])
         self.table = self._candidates(grid, edges)
 
-    def _candidates(self, grid: Grid, edges: np.ndarray) -> pd.DataFrame:
+    def _candidates(self, grid: Grid, edges: np.ndarray) -> pa.Table:
         row = np.repeat(np.arange(self.rows), self.counts)
         within = np.arange(len(row)) - self.offsets[row]
         span = TWO_PI / self.counts[row]
@@ -69,13 +72,17 @@ class SkyBins:
             b, c = np.nonzero(d <= limit[:, None])
             found.append(np.column_stack([b + a, c]))
         hit = np.concatenate(found)
-        return pd.DataFrame(
+        hit = hit[np.lexsort((ids[hit[:, 1]], hit[:, 0]))]
+        starts = np.searchsorted(hit[:, 0], np.arange(len(row) + 1)).astype(np.int32)
+        chosen = hit[:, 1]
+        structs = pa.StructArray.from_arrays(
+            [pa.array(ids[chosen].astype(np.int32)), *[pa.array(cells[chosen, i]) for i in range(3)]],
+            names=["cell_id", "x", "y", "z"],
+        )
+        return pa.table(
             {
-                "bin": hit[:, 0].astype(np.int32),
-                "cell_id": ids[hit[:, 1]].astype(np.int32),
-                "x": cells[hit[:, 1], 0],
-                "y": cells[hit[:, 1], 1],
-                "z": cells[hit[:, 1], 2],
+                "__bin": pa.array(np.arange(len(row), dtype=np.int32)),
+                "__cells": pa.ListArray.from_arrays(pa.array(starts), structs),
             }
         )
 
@@ -97,12 +104,44 @@ def sky_bins(grid: Grid) -> SkyBins:
 
 
 def candidate_table(df: DataFrame, grid: Grid) -> DataFrame:
-    """(bin, candidates) with the candidates of a bin in one array."""
-    spark = df.sparkSession
-    long = spark.createDataFrame(sky_bins(grid).table)
-    return long.groupBy(F.col("bin").alias("__bin")).agg(
-        F.sort_array(F.collect_list(F.struct("cell_id", "x", "y", "z"))).alias("__cells")
+    """(__bin, __cells) with the candidates of a bin in one array."""
+    return df.sparkSession.createDataFrame(sky_bins(grid).table)
+
+
+def _by_bands(obs: DataFrame, grid: Grid, theta: str, phi: str) -> tuple[DataFrame, Column]:
+    """Rows with helper columns, and the nearest cell's id from them."""
+    bands = grid.info["bands"]
+    res = math.radians(grid.resolution)
+    table = lambda values: F.array(*map(F.lit, values))
+    counts, firsts = table([b[1] for b in bands]), table([b[2] for b in bands])
+    sines, cosines = table([math.sin(b[0]) for b in bands]), table([math.cos(b[0]) for b in bands])
+    rotation = math.radians(grid.info.get("phi_rotation", 0.0))
+    t = F.col(theta)
+    turn = F.pmod(F.col(phi) - F.lit(rotation), F.lit(TWO_PI)) / F.lit(TWO_PI)
+    last = len(bands) - 1
+    home = F.least(F.greatest(F.floor(t / F.lit(res) + 0.5).cast("int"), F.lit(0)), F.lit(last))
+    work = obs.withColumns(
+        {"__st": F.sin(t), "__ct": F.cos(t), "__turn": turn, "__home": F.when(F.col(phi).isNotNull(), home)}
     )
+    for i, step in enumerate((-1, 0, 1)):
+        band = F.least(F.greatest(F.col("__home") + step, F.lit(0)), F.lit(last))
+        work = work.withColumn(f"__b{i}", band)
+        n = F.get(counts, F.col(f"__b{i}"))
+        x = F.col("__turn") * n
+        k = F.least(F.floor(x).cast("int"), n - 1)
+        # On a sector edge both centres are equally near: the lower id.
+        k = F.when((x - k < 1e-11) & (k > 0), k - 1).otherwise(k)
+        work = work.withColumn(f"__k{i}", k)
+    dots, ids = [], []
+    for i in range(3):
+        b, k = F.col(f"__b{i}"), F.col(f"__k{i}")
+        away = (F.col("__turn") - (k + F.lit(0.5)) / F.get(counts, b)) * F.lit(TWO_PI)
+        dot = F.col("__st") * F.get(sines, b) * F.cos(away) + F.col("__ct") * F.get(cosines, b)
+        dots.append(F.round(dot, TIE_DIGITS).alias(f"__d{i}"))
+        ids.append((F.get(firsts, b) + k).alias(f"__i{i}"))
+    work = work.select(*obs.columns, *dots, *ids)
+    best = F.greatest("__d0", "__d1", "__d2")
+    return work, F.least(*[F.when(F.col(f"__d{i}") == best, F.col(f"__i{i}")) for i in range(3)])
 
 
 def assign_cells(
@@ -110,6 +149,18 @@ def assign_cells(
 ) -> DataFrame:
     """Add the id of the cell whose centre is nearest; NULL where an angle is NULL."""
     out = out or f"cell_id_{grid.name}"
+    if "bands" in grid.info:
+        work, cell = _by_bands(obs, grid, theta, phi)
+        # One-element explode: a filter on the id must not be pushed down
+        # through the helper columns, whose inlined copies would not compile.
+        return work.select(*obs.columns, F.explode(F.array(cell.cast("int"))).alias(out))
+    return assign_by_table(obs, grid, out, theta, phi)
+
+
+def assign_by_table(
+    obs: DataFrame, grid: Grid, out: str, theta: str = "theta", phi: str = "phi"
+) -> DataFrame:
+    """The candidate-table path, right for any grid."""
     bins = sky_bins(grid)
     # At most MAX_BINS rows, whatever the observations number.
     table = F.broadcast(candidate_table(obs, grid))

@@ -88,6 +88,14 @@ def _bands_to_cells(bands: list[tuple[float, float, float, int]]) -> pd.DataFram
     return cells
 
 
+def _band_info(bands: list[tuple[float, float, float, int]], cutoff: float) -> dict:
+    """(theta, sectors, first cell id) per band, when no band is missing."""
+    if cutoff:
+        return {}
+    firsts = np.concatenate([[0], np.cumsum([b[3] for b in bands])])[:-1]
+    return {"bands": [(b[0], int(b[3]), int(f)) for b, f in zip(bands, firsts)]}
+
+
 def _theta_edges(res: float, cutoff: float) -> list[float]:
     count = _arange_count(res / 2, HALF_PI - cutoff, res)
     return [res / 2 + i * res for i in range(count)]
@@ -103,7 +111,7 @@ def equal_area(resolution: float = 10.0, cutoff: float = 0.0) -> Grid:
         if hi > cut:
             n = max(1, round(TWO_PI * (math.cos(lo) - math.cos(hi)) / cap))
             bands.append(((lo + hi) / 2, lo, hi, n))
-    return Grid("equal_area", resolution, cutoff, _bands_to_cells(bands))
+    return Grid("equal_area", resolution, cutoff, _bands_to_cells(bands), _band_info(bands, cut))
 
 
 def equal_angle(resolution: float = 10.0, cutoff: float = 0.0) -> Grid:
@@ -113,7 +121,7 @@ def equal_angle(resolution: float = 10.0, cutoff: float = 0.0) -> Grid:
     edges = _theta_edges(res, cut)
     bands = [(0.0, 0.0, res / 2, 1)]
     bands += [((lo + hi) / 2, lo, hi, n) for lo, hi in zip(edges, edges[1:])]
-    return Grid("equal_angle", resolution, cutoff, _bands_to_cells(bands))
+    return Grid("equal_angle", resolution, cutoff, _bands_to_cells(bands), _band_info(bands, cut))
 
 
 def equirectangular(resolution: float = 10.0, cutoff: float = 0.0) -> Grid:

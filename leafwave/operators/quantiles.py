@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_ROWS = 5_000_000
+ARRAY_ROWS = 200_000
 SLICES = 1024
 _STRIDE = 32
 
@@ -97,6 +98,12 @@ def _hot_quantiles(
     )
 
 
+def _hot_groups(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
+    """Keys of the groups above ``hot_rows``, or None; one counting pass runs here."""
+    hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+    return None if hot.isEmpty() else hot
+
+
 def group_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -109,8 +116,8 @@ def group_quantiles(
     """Exact linear-interpolation quantiles of ``value`` per group.
 
     Returns ``keys`` plus ``out``, an array aligned with ``probs``. NULLs are
-    ignored. One counting pass runs here, when the plan is built, to see which
-    groups need splitting; without any, the plan is a plain aggregate.
+    ignored. One counting pass runs when the plan is built, to see which groups
+    need splitting; without any, the plan is a plain aggregate.
     """
     keys = list(keys)
     whole = not keys
@@ -122,11 +129,11 @@ def group_quantiles(
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
 
-    hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
+    hot = _hot_groups(rows, keys, hot_rows)
     plain = lambda part: part.groupBy(*keys).agg(
         F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("q")
     )
-    if hot.isEmpty():
+    if hot is None:
         result = plain(rows)
     else:
         result = plain(rows.join(hot, keys, "left_anti")).unionByName(
@@ -142,12 +149,38 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str, **kw)
     return q.select(*keys, F.col("__q")[0].alias(out))
 
 
-def median_and_mad(df: DataFrame, keys: Sequence[str], value: str, **kw) -> DataFrame:
-    """Per group: ``median``, unscaled ``mad`` and row count ``n_obs``."""
+def _middle(ordered: Column) -> Column:
+    """Median of a sorted array."""
+    n = F.size(ordered)
+    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
+    return (low + F.get(ordered, F.floor(n / 2).cast("int"))) / 2
+
+
+def median_and_mad(
+    df: DataFrame, keys: Sequence[str], value: str, hot_rows: int = ARRAY_ROWS
+) -> DataFrame:
+    """Per group: ``median``, unscaled ``mad`` and row count ``n_obs``.
+
+    Groups of at most ``hot_rows`` values go through one sorted array each, so
+    the input is read once for both medians; larger ones are sliced twice.
+    """
     keys = list(keys)
-    med = group_median(df, keys, value, "median", **kw)
-    dev = df.where(F.col(value).isNotNull()).join(med, keys)
-    dev = dev.select(*keys, F.abs(F.col(value) - F.col("median")).alias("__dev"))
-    mad = group_median(dev, keys, "__dev", "mad", **kw)
-    n = df.groupBy(*keys).agg(F.count(value).alias("n_obs"))
-    return med.join(mad, keys).join(n, keys)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias(value))
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    hot = _hot_groups(rows, keys, hot_rows)
+    small = rows if hot is None else rows.join(hot, keys, "left_anti")
+    lists = small.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("__v"))
+    lists = lists.withColumn("median", _middle(F.col("__v")))
+    deviations = F.array_sort(F.transform("__v", lambda x: F.abs(x - F.col("median"))))
+    out = lists.select(
+        *keys, "median", _middle(deviations).alias("mad"), F.size("__v").cast("bigint").alias("n_obs")
+    )
+    if hot is None:
+        return out
+    large = rows.join(hot, keys)
+    med = _hot_quantiles(large, keys, value, [0.5], SLICES).select(*keys, F.col("q")[0].alias("median"))
+    dev = large.join(med, keys).select(*keys, F.abs(F.col(value) - F.col("median")).alias("__dev"))
+    mad = _hot_quantiles(dev, keys, "__dev", [0.5], SLICES).select(*keys, F.col("q")[0].alias("mad"))
+    n = large.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_obs"))
+    return out.unionByName(med.join(mad, keys).join(n, keys))
