@@ -1 +1,5 @@
-"""store of the leafwave package."""
+"""Versioned observation store on parquet."""
+
+from leafwave.store.store import ObservationStore
+
+__all__ = ["ObservationStore"]
