@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leafwave.functions.numeric import clip
 from leafwave.functions.timeutil import col_of, clock_hour
 
 CIVIL_TWILIGHT = -6.0
@@ -23,10 +24,6 @@ def julian_day(epoch: Column | str) -> Column:
     )
 
 
-def _clip1(c: Column) -> Column:
-    return F.least(F.greatest(c, F.lit(-1.0)), F.lit(1.0))
-
-
 def with_solar_position(
     df: DataFrame, lat: float, lon: float, epoch: str = "epoch"
 ) -> DataFrame:
@@ -72,7 +69,7 @@ def with_solar_position(
     )
     out = out.withColumns(
         {
-            "__decl": F.asin(_clip1(sin(c("__tilt")) * sin(rad(c("__applong"))))),
+            "__decl": F.asin(clip(sin(c("__tilt")) * sin(rad(c("__applong"))), -1.0, 1.0)),
             "__y": F.pow(F.tan(c("__tilt") / 2), F.lit(2.0)),
         }
     )
@@ -97,11 +94,11 @@ def with_solar_position(
     out = out.withColumn(
         "solar_zenith",
         deg(
-            F.acos(_clip1(sl * sin(c("__decl")) + cl * cos(c("__decl")) * cos(rad(c("__ha")))))
+            F.acos(clip(sl * sin(c("__decl")) + cl * cos(c("__decl")) * cos(rad(c("__ha"))), -1.0, 1.0))
         ),
     )
     zen = rad(c("solar_zenith"))
-    raw = deg(F.acos(_clip1(F.try_divide(sl * cos(zen) - sin(c("__decl")), cl * sin(zen)))))
+    raw = deg(F.acos(clip(F.try_divide(sl * cos(zen) - sin(c("__decl")), cl * sin(zen)), -1.0, 1.0)))
     out = out.withColumn("__az", F.when(c("__ha") > 0, raw).otherwise(F.lit(360.0) - raw))
     # One-element explode: without it a filter on the elevation is pushed down
     # through all the projections above, each intermediate copied where it is
@@ -127,7 +124,7 @@ def solar_bin(elevation: Column, n_bins: int = 12) -> Column:
     """0-based bin over [-20, 90] degrees, left-closed, ends clipped."""
     width = 110.0 / n_bins
     raw = F.floor((elevation + F.lit(20.0)) / F.lit(width))
-    return F.greatest(F.least(raw, F.lit(n_bins - 1)), F.lit(0)).cast("int")
+    return clip(raw, 0, n_bins - 1).cast("int")
 
 
 def solar_bin_centres(n_bins: int = 12) -> list[float]:
@@ -142,9 +139,9 @@ def corrected(
     cosine = F.cos(F.radians(zenith))
     if method == "normalize":
         factor = F.try_divide(F.lit(math.cos(math.radians(reference_zenith))), cosine)
-        return value * F.least(F.greatest(factor, F.lit(0.5)), F.lit(2.0))
+        return value * F.when(cosine == 0, F.lit(2.0)).otherwise(clip(factor, 0.5, 2.0))
     if method == "cos_correction":
-        return value / F.least(F.greatest(cosine, F.lit(0.1)), F.lit(1.0))
+        return value / clip(cosine, 0.1, 1.0)
     raise ValueError(f"unknown correction method {method!r}")
 
 

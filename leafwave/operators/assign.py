@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leafwave.functions.numeric import clip
 from leafwave.operators.grids import Grid, create_grid, grid_hash
 
 TWO_PI = 2 * math.pi
@@ -87,13 +88,12 @@ class SkyBins:
         )
 
     def bin_of(self, theta: Column, phi: Column) -> Column:
-        row = F.least(F.floor(theta / F.lit(self.height)), F.lit(self.rows - 1)).cast("int")
-        row = F.greatest(row, F.lit(0))
-        n = F.element_at(F.array(*map(F.lit, self.counts.tolist())), row + 1)
-        first = F.element_at(F.array(*map(F.lit, self.offsets.tolist())), row + 1)
+        row = clip(F.floor(theta / F.lit(self.height)).cast("int"), 0, self.rows - 1)
+        n = F.get(F.array(*map(F.lit, self.counts.tolist())), row)
+        first = F.get(F.array(*map(F.lit, self.offsets.tolist())), row)
         turn = F.pmod(phi, F.lit(TWO_PI))
-        k = F.least(F.floor(turn / F.lit(TWO_PI) * n).cast("int"), n - 1)
-        return (first + k).cast("int")
+        k = F.floor(turn / F.lit(TWO_PI) * n).cast("int")
+        return (first + F.when(k >= n, n - 1).otherwise(k)).cast("int")
 
 
 def sky_bins(grid: Grid) -> SkyBins:
@@ -119,16 +119,16 @@ def _by_bands(obs: DataFrame, grid: Grid, theta: str, phi: str) -> tuple[DataFra
     t = F.col(theta)
     turn = F.pmod(F.col(phi) - F.lit(rotation), F.lit(TWO_PI)) / F.lit(TWO_PI)
     last = len(bands) - 1
-    home = F.least(F.greatest(F.floor(t / F.lit(res) + 0.5).cast("int"), F.lit(0)), F.lit(last))
+    home = clip(F.floor(t / F.lit(res) + 0.5).cast("int"), 0, last)
     work = obs.withColumns(
-        {"__st": F.sin(t), "__ct": F.cos(t), "__turn": turn, "__home": F.when(F.col(phi).isNotNull(), home)}
+        {"__st": F.sin(t), "__ct": F.cos(t), "__turn": turn, "__home": home}
     )
     for i, step in enumerate((-1, 0, 1)):
-        band = F.least(F.greatest(F.col("__home") + step, F.lit(0)), F.lit(last))
-        work = work.withColumn(f"__b{i}", band)
+        work = work.withColumn(f"__b{i}", clip(F.col("__home") + step, 0, last))
         n = F.get(counts, F.col(f"__b{i}"))
         x = F.col("__turn") * n
-        k = F.least(F.floor(x).cast("int"), n - 1)
+        k = F.floor(x).cast("int")
+        k = F.when(k >= n, n - 1).otherwise(k)
         # On a sector edge both centres are equally near: the lower id.
         k = F.when((x - k < 1e-11) & (k > 0), k - 1).otherwise(k)
         work = work.withColumn(f"__k{i}", k)

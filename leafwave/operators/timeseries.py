@@ -42,7 +42,7 @@ def _weighted_bins(df: DataFrame, weights: DataFrame, bin_name: str, value: str,
     return sums.select(
         bin_name,
         mean.alias("mean"),
-        F.sqrt(F.greatest(var, F.lit(0.0))).alias("std"),
+        F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var)).alias("std"),
         "n_cells",
         "n_observations",
         "sum_weights",
