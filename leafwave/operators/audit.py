@@ -152,6 +152,18 @@ def verdicts(
     return stats.withColumn("reason", reason).withColumn("passed", F.col("reason") == "")
 
 
+def compare_datasets(
+    a: DataFrame, b: DataFrame, variables: Sequence[str] | None = None, tier: str = "numerical",
+    overrides: Mapping[str, Tolerance] | None = None, aligned: bool = True, keys: Sequence[str] = KEYS,
+) -> DataFrame:
+    """Statistics and verdict per shared variable, on the shared epochs and sids."""
+    if variables is None:
+        variables = sorted((set(a.columns) & set(b.columns)) - set(keys))
+    if aligned:
+        a, b = align(a, b, keys)
+    return verdicts(variable_stats(a, b, variables, keys), tier, overrides, variables)
+
+
 def diff_report(
     a: DataFrame, b: DataFrame, variables: Sequence[str], budgets: Mapping[str, float] | None = None,
     keys: Sequence[str] = KEYS,

@@ -160,9 +160,9 @@ class PerCellFilter(ABC):
     name = "per_cell"
     needs = 1
 
-    @abstractmethod
-    def stats(self, rows: DataFrame, var: str, cell: str) -> DataFrame | None:
-        """Per-cell statistics, columns prefixed ``__``; None when none are needed."""
+    def stats(self, rows: DataFrame, var: str, cell: str) -> DataFrame:
+        """Per-cell row count ``__n`` and further statistics, columns prefixed ``__``."""
+        return rows.groupBy(cell).agg(F.count(F.lit(1)).alias("__n"))
 
     @abstractmethod
     def keep(self, var: str) -> Column:
@@ -174,10 +174,7 @@ class PerCellFilter(ABC):
     ) -> DataFrame:
         suffix = suffix or self.name
         rows = df.where(F.col(var).isNotNull() & F.col(cell).isNotNull())
-        stats = rows.groupBy(cell).agg(F.count(F.lit(1)).alias("__n"))
-        extra = self.stats(rows, var, cell)
-        if extra is not None:
-            stats = stats.join(extra, cell)
+        stats = self.stats(rows, var, cell)
         enough = F.col("__n") >= max(min_observations, self.needs)
         drop = enough & F.col(var).isNotNull() & ~self.keep(var)
         out = df.join(stats, cell, "left")
@@ -196,7 +193,7 @@ class PerCellIQR(PerCellFilter):
         self.factor = factor
 
     def stats(self, rows, var, cell):
-        return group_quantiles(rows, [cell], var, [0.25, 0.75], out="__q")
+        return group_quantiles(rows, [cell], var, [0.25, 0.75], out="__q", count="__n")
 
     def keep(self, var):
         q = F.col("__q")
@@ -211,7 +208,9 @@ class PerCellZScore(PerCellFilter):
         self.threshold = threshold
 
     def stats(self, rows, var, cell):
-        return rows.groupBy(cell).agg(F.avg(var).alias("__m"), F.stddev_pop(var).alias("__s"))
+        return rows.groupBy(cell).agg(
+            F.count(F.lit(1)).alias("__n"), F.avg(var).alias("__m"), F.stddev_pop(var).alias("__s")
+        )
 
     def keep(self, var):
         z = F.abs(F.try_divide(F.col(var) - F.col("__m"), F.col("__s")))
@@ -224,9 +223,6 @@ class PerCellRange(PerCellFilter):
     def __init__(self, min_value: float | None = None, max_value: float | None = None) -> None:
         self.range = RangeFilter(min_value, max_value)
 
-    def stats(self, rows, var, cell):
-        return None
-
     def keep(self, var):
         return self.range.mask(None, var)
 
@@ -238,7 +234,7 @@ class PerCellPercentile(PerCellFilter):
         self.lower, self.upper = lower, upper
 
     def stats(self, rows, var, cell):
-        return group_quantiles(rows, [cell], var, [self.lower / 100, self.upper / 100], out="__q")
+        return group_quantiles(rows, [cell], var, [self.lower / 100, self.upper / 100], out="__q", count="__n")
 
     def keep(self, var):
         return F.col(var).between(F.col("__q")[0], F.col("__q")[1])

@@ -459,3 +459,28 @@ def grid_hash(grid: Grid) -> str:
     h.update(grid.cells["theta"].to_numpy().tobytes())
     h.update(f"{grid.kind}_{grid.resolution}".encode())
     return h.hexdigest()[:16]
+
+
+def neighbour_edges(grid: Grid, spark: SparkSession) -> DataFrame:
+    """(cell_id, neighbor_id): cells whose centres are within 1.5 mean spacings, both directions."""
+    centres, ids = grid.centres(), grid.cells["cell_id"].to_numpy()
+    reach = 1.5 * math.sqrt(TWO_PI / grid.ncells)
+    limit = math.cos(min(reach, math.pi))
+    parts = []
+    step = max(1, 4_000_000 // len(ids))
+    for a in range(0, len(ids), step):
+        i, j = np.nonzero(centres[a : a + step] @ centres.T >= limit)
+        keep = i + a != j
+        parts.append(pd.DataFrame({"cell_id": ids[i[keep] + a], "neighbor_id": ids[j[keep]]}))
+    edges = spark.createDataFrame(pd.concat(parts, ignore_index=True))
+    return edges.select(F.col("cell_id").cast("int"), F.col("neighbor_id").cast("int"))
+
+
+def ragged_offsets(parts: DataFrame) -> DataFrame:
+    """(cell_id, n, offset): where each cell's rows start when laid end to end."""
+    from pyspark.sql import Window
+
+    # One row per cell of a grid.
+    before = Window.orderBy("cell_id").rowsBetween(Window.unboundedPreceding, -1)
+    n = parts.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))

@@ -120,3 +120,42 @@ def distribution_summary(
         F.percentile_approx(var, list(probs), int(1 / epsilon)).alias("quantiles"),
         F.histogram_numeric(var, F.lit(bins)).alias("histogram"),
     )
+
+
+def code_compliance(headers: DataFrame) -> DataFrame:
+    """(path, code, issue) for observation codes outside the known systems, bands and attributes.
+
+    ``headers`` has the file's codes as system letter + code, as the RINEX 3
+    header parser gives them.
+    """
+    from leafwave.functions.signals import bands
+
+    spark = headers.sparkSession
+    known = bands(spark).select(
+        F.col("system").alias("sys"), F.col("digit").alias("dig"), F.col("codes").alias("attributes")
+    )
+    rows = headers.select("path", F.explode("codes").alias("code"))
+    rows = rows.withColumn("sys", F.substring("code", 1, 1)).withColumn("dig", F.substring("code", 3, 1))
+    systems = F.array(*[F.lit(s) for s in "GREICSJ"])
+    joined = rows.join(F.broadcast(known), ["sys", "dig"], "left")  # some thirty bands
+    issue = (
+        F.when(~F.array_contains(systems, F.col("sys")), "unknown system")
+        .when(F.length("code") < 4, "too short")
+        .when(F.col("attributes").isNull(), "unknown band")
+        .when(~F.array_contains("attributes", F.substring("code", 4, 1)), "unknown attribute")
+    )
+    return joined.withColumn("issue", issue).where(F.col("issue").isNotNull()).select("path", "code", "issue")
+
+
+def grid_integrity(cells: DataFrame) -> DataFrame:
+    """Counts of cells that break a grid's rules: repeated ids, centres out of range, no solid angle."""
+    bad = lambda c: F.coalesce(F.sum((~c).cast("bigint")), F.lit(0))
+    out = cells.agg(
+        F.count(F.lit(1)).alias("ncells"),
+        (F.count(F.lit(1)) - F.countDistinct("cell_id")).alias("repeated_ids"),
+        bad(F.col("phi").between(0, 2 * math.pi)).alias("bad_phi"),
+        bad(F.col("theta").between(0, math.pi)).alias("bad_theta"),
+        bad(F.col("solid_angle") > 0).alias("bad_solid_angle"),
+    )
+    total = F.col("repeated_ids") + F.col("bad_phi") + F.col("bad_theta") + F.col("bad_solid_angle")
+    return out.withColumn("ok", (F.col("ncells") > 0) & (total == 0))

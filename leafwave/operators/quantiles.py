@@ -94,7 +94,7 @@ def _hot_quantiles(
         high = F.element_at("__at", F.ceil(p).cast("bigint"))
         interpolated.append(low + (high - low) * (p - F.floor(p)))
     return by_rank.join(cuts.select(*keys, "__n"), keys).select(
-        *keys, F.array(*interpolated).alias("q")
+        *keys, F.array(*interpolated).alias("q"), "__n"
     )
 
 
@@ -112,10 +112,12 @@ def group_quantiles(
     out: str = "q",
     hot_rows: int = HOT_ROWS,
     slices: int = SLICES,
+    count: str | None = None,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per group.
 
-    Returns ``keys`` plus ``out``, an array aligned with ``probs``. NULLs are
+    Returns ``keys`` plus ``out``, an array aligned with ``probs``, and with
+    ``count`` a column of that name holding the group's size. NULLs are
     ignored. One counting pass runs when the plan is built, to see which groups
     need splitting; without any, the plan is a plain aggregate.
     """
@@ -131,7 +133,8 @@ def group_quantiles(
 
     hot = _hot_groups(rows, keys, hot_rows)
     plain = lambda part: part.groupBy(*keys).agg(
-        F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("q")
+        F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("q"),
+        F.count(F.lit(1)).alias("__n"),
     )
     if hot is None:
         result = plain(rows)
@@ -139,8 +142,8 @@ def group_quantiles(
         result = plain(rows.join(hot, keys, "left_anti")).unionByName(
             _hot_quantiles(rows.join(hot, keys), keys, value, probs, slices)
         )
-    result = result.withColumnRenamed("q", out)
-    return result.drop("__all") if whole else result
+    size = [F.col("__n").alias(count)] if count else []
+    return result.select(*([] if whole else keys), F.col("q").alias(out), *size)
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str, **kw) -> DataFrame:

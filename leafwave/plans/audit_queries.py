@@ -344,3 +344,48 @@ def gps_to_utc(spark, sf):
     e = table(spark, sf, "events")
     utc = tu.gps_time_to_utc(F.floor(F.col("value") * 1000000), F.pmod("user_id", F.lit(5)) + 2295, F.lit(18))
     return e.select("event_id", utc.alias("utc"))
+
+
+@query(
+    "compare_datasets",
+    "WITH " + DAILY_SQL + """, ca AS (SELECT * FROM daily WHERE receiver='canopy'), re AS (SELECT * FROM daily WHERE receiver='reference'),
+a AS (SELECT * FROM ca WHERE epoch IN (SELECT epoch FROM re) AND sid IN (SELECT sid FROM re)), b AS (SELECT * FROM re WHERE epoch IN (SELECT epoch FROM ca) AND sid IN (SELECT sid FROM ca)),
+p AS (SELECT a.SNR AS x, b.SNR AS y FROM a FULL JOIN b ON a.epoch = b.epoch AND a.sid = b.sid)
+SELECT 'SNR' AS variable, count(*) AS n_total, count(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 END) AS n_compared, round(max(abs(x-y)),6) AS max_abs_diff, max(abs(x-y)) <= 0 AND abs(avg(CASE WHEN x IS NULL THEN 1 ELSE 0 END) - avg(CASE WHEN y IS NULL THEN 1 ELSE 0 END)) <= 0 AS passed FROM p""",
+)
+def compare_datasets(spark, sf):
+    a, b = sides(spark, sf)
+    out = au.compare_datasets(a, b, ["SNR"], "exact")
+    return rounded(out.select("variable", "n_total", "n_compared", "max_abs_diff", "passed"))
+
+
+@query(
+    "match_auxiliary",
+    f"""WITH {PASSES_SQL}, w AS (SELECT DISTINCT epoch, sid FROM passes), aux AS (SELECT sid, CAST(date_trunc('month', epoch) AS TIMESTAMP) AS epoch, avg(SNR) AS v FROM passes GROUP BY 1, 2),
+b AS (SELECT w.sid, w.epoch, x.epoch AS eb, x.v AS vb FROM w ASOF LEFT JOIN aux x ON w.sid = x.sid AND w.epoch >= x.epoch),
+a AS (SELECT w.sid, w.epoch, x.epoch AS ea, x.v AS va FROM w ASOF LEFT JOIN aux x ON w.sid = x.sid AND w.epoch <= x.epoch),
+n AS (SELECT *, (eb IS NULL OR (ea IS NOT NULL AND epoch_us(ea)-epoch_us(epoch) <= epoch_us(epoch)-epoch_us(eb))) AS later FROM b JOIN a USING (sid, epoch))
+SELECT epoch, sid, round(CASE WHEN later THEN va ELSE vb END,6) AS v, abs(epoch_us(epoch) - epoch_us(CASE WHEN later THEN ea ELSE eb END))/1e6 AS m_temporal_distance FROM n""",
+)
+def match_auxiliary(spark, sf):
+    from leafwave.operators.matching import match
+
+    p = passes(spark, sf)
+    month = F.date_trunc("month", "epoch").cast("timestamp_ntz")
+    aux = p.groupBy("sid", month.alias("epoch")).agg(F.avg("SNR").alias("v"))
+    return rounded(match(p, aux, "sid", ["v"], "m"))
+
+
+@query(
+    "sql_functions",
+    f"WITH {OBS_SQL} SELECT split_part(sid,'|',2) AS band, round(sum(-ln(pow(10.0, (SNR-30)/10.0))*cos(theta)),4) AS total, min(strftime(epoch,'%Y%j')) AS first_day FROM obs GROUP BY 1",
+)
+def sql_functions(spark, sf):
+    from leafwave.functions.sql import register_functions
+
+    register_functions(spark)
+    obs(spark, sf).createOrReplaceTempView("leafwave_obs")
+    return spark.sql(
+        "SELECT sid_band(sid) AS band, round(sum(vod(SNR, 30.0D, theta)), 4) AS total, min(yyyydoy(epoch)) AS first_day"
+        " FROM leafwave_obs GROUP BY 1"
+    )

@@ -540,3 +540,27 @@ def solid_angle_rect(spark, sf):
         "cell_id", F.round("solid_angle", 9).alias("solid_angle"), "n",
         F.round(F.col("n") / F.col("solid_angle"), 4).alias("density"),
     )
+
+
+@query(
+    "ragged_offsets",
+    CELL_SNR_SQL + ", n AS (SELECT cell_id, count(*) AS n FROM cells GROUP BY 1) SELECT cell_id, n, coalesce(sum(n) OVER (ORDER BY cell_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)::BIGINT AS \"offset\" FROM n",
+)
+def ragged_offsets(spark, sf):
+    from leafwave.operators.grids import ragged_offsets as offsets
+
+    return offsets(cell_passes(spark, sf))
+
+
+@query(
+    "neighbour_mean",
+    CELL_SNR_SQL + """, e AS (SELECT a.cell_id, b.cell_id AS neighbor_id FROM grid a JOIN grid b ON a.cell_id <> b.cell_id AND sin(a.theta)*cos(a.phi)*sin(b.theta)*cos(b.phi)+sin(a.theta)*sin(a.phi)*sin(b.theta)*sin(b.phi)+cos(a.theta)*cos(b.theta) >= cos(1.5*sqrt(2*pi()/240))),
+m AS (SELECT cell_id, avg(SNR) AS m FROM cells GROUP BY 1) SELECT e.cell_id, count(*) AS n_neighbours, round(avg(m),6) AS neighbour_mean FROM e JOIN m ON m.cell_id = neighbor_id GROUP BY 1""",
+)
+def neighbour_mean(spark, sf):
+    from leafwave.operators.grids import neighbour_edges
+
+    mean = cell_passes(spark, sf).groupBy("cell_id").agg(F.avg("SNR").alias("m"))
+    edges = neighbour_edges(cached_grid("equal_area", 10.0), spark)
+    hit = edges.join(mean.withColumnRenamed("cell_id", "neighbor_id"), "neighbor_id")
+    return rounded(hit.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_neighbours"), F.avg("m").alias("neighbour_mean")))
