@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_ROWS = 5_000_000
 ARRAY_ROWS = 200_000
+MAX_HOT_KEYS = 50_000
 SLICES = 1024
 _STRIDE = 32
 
@@ -99,9 +100,19 @@ def _hot_quantiles(
 
 
 def _hot_groups(rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys of the groups above ``hot_rows``, or None; one counting pass runs here."""
+    """Keys of the groups above ``hot_rows``, or None; one counting pass runs here.
+
+    Up to ``MAX_HOT_KEYS`` keys become a local, broadcast table; there cannot
+    be more than (all rows / hot_rows) of them. Beyond that the join is an
+    ordinary one, where adaptive execution splits skewed partitions.
+    """
     hot = rows.groupBy(*keys).count().where(F.col("count") > hot_rows).select(*keys)
-    return None if hot.isEmpty() else hot
+    found = hot.limit(MAX_HOT_KEYS + 1).collect()
+    if not found:
+        return None
+    if len(found) > MAX_HOT_KEYS:
+        return hot
+    return F.broadcast(rows.sparkSession.createDataFrame(found, hot.schema))
 
 
 def group_quantiles(
@@ -152,6 +163,30 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, out: str, **kw)
     return q.select(*keys, F.col("__q")[0].alias(out))
 
 
+def group_medians(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Exact median of several columns per group; every group is kept, all-NULL columns give NULL.
+
+    Ordinary groups need one aggregate for all columns.
+    """
+    keys = list(keys)
+    rows = df.select(*keys, *columns)
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())
+    hot = _hot_groups(rows, keys, hot_rows)
+    small = rows if hot is None else rows.join(hot, keys, "left_anti")
+    out = small.groupBy(*keys).agg(*[F.percentile(c, 0.5).alias(c) for c in columns])
+    if hot is None:
+        return out
+    large = rows.join(hot, keys)
+    part = large.select(*keys).distinct()
+    for c in columns:
+        one = _hot_quantiles(large.where(F.col(c).isNotNull()).select(*keys, c), keys, c, [0.5], SLICES)
+        part = part.join(one.select(*keys, F.col("q")[0].alias(c)), keys, "left")
+    return out.unionByName(part)
+
+
 def _middle(ordered: Column) -> Column:
     """Median of a sorted array."""
     n = F.size(ordered)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from leafwave.functions.vod import optical_depth
+from leafwave.session import broadcast_checked
 
 KEYS = ["epoch", "sid"]
 
@@ -72,7 +73,10 @@ def explode_pairs(reference_config: DataFrame) -> DataFrame:
 
 
 def replicate_reference(reference_obs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Reference observations once per canopy they serve."""
-    return reference_obs.join(
-        pairs.withColumnRenamed("reference", "receiver"), "receiver"
-    )
+    """Reference observations once per canopy they serve.
+
+    Pairs are configuration; while they are few they are broadcast, so the
+    observations of a busy receiver stay where they are.
+    """
+    few = broadcast_checked(pairs.withColumnRenamed("reference", "receiver"), 10_000)
+    return reference_obs.join(few, "receiver")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leafwave.functions.timeutil import floor_epoch, freq_seconds, micros
 from leafwave.operators.ordered import with_neighbours
-from leafwave.operators.quantiles import group_median
+from leafwave.operators.quantiles import group_median, group_medians
 
 
 def numeric_columns(df: DataFrame, skip: Sequence[str] = ()) -> list[str]:
@@ -41,10 +41,7 @@ def temporal_aggregate(
     if method == "mean":
         mean = poisoned_mean if nan_policy == "propagate" else F.avg
         return binned.groupBy(*group).agg(*[mean(F.col(c).cast("double")).alias(c) for c in columns])
-    out = binned.select(*group).distinct()
-    for c in columns:
-        out = out.join(group_median(binned, group, c, c), group, "left")
-    return out
+    return group_medians(binned, group, columns)
 
 
 def median_epoch_spacing(obs: DataFrame) -> float | None:

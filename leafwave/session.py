@@ -55,3 +55,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast when ``df`` has at most ``max_rows`` rows; otherwise leave the join to Spark.
+
+    Counts at most one row more than the limit. Meant for tables already
+    written out or cheap to compute.
+    """
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

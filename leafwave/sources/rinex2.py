@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leafwave.functions.signals import BANDS
 from leafwave.schema import OBSERVABLES
+from leafwave.session import broadcast_checked, cut_lineage
 from leafwave.sources.lines import fill_forward, number, read_lines, timestamp_of
 
 EPOCH_LINE = r"^ [ \d]\d [ \d]\d [ \d]\d [ \d]\d [ \d]\d[ \d]{3}\.\d{7}  [0-6][ \d]{2}\d"
 OBS_TYPES = "# / TYPES OF OBSERV"
 SATS_PER_LINE, FIELDS_PER_LINE, FIELD = 12, 5, 16
+MAX_BROADCAST_FILES = 20_000
 
 # Codes with a stated tracking mode; all others are X.
 TRACKING = {"C1": "C", "P1": "P", "C2": "C", "P2": "P"}
@@ -127,4 +129,5 @@ def parse_lines(lines: DataFrame, headers: DataFrame) -> DataFrame:
 
 def read_rinex2(spark: SparkSession, path: str | list[str], columns: Sequence[str] = OBSERVABLES) -> DataFrame:
     lines = read_lines(spark, path)
-    return parse_lines(lines, parse_headers(lines)).select("path", "epoch", "sid", *columns)
+    headers = broadcast_checked(cut_lineage(parse_headers(lines)), MAX_BROADCAST_FILES)
+    return parse_lines(lines, headers).select("path", "epoch", "sid", *columns)

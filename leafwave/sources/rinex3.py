@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leafwave.functions.signals import BANDS, SLOTS
 from leafwave.schema import OBSERVABLES
+from leafwave.session import broadcast_checked, cut_lineage
 from leafwave.sources.lines import number, read_records, timestamp_of
 
 EPOCH_PATTERN = r"^\s*(\d{4})\s+(\d{2})\s+(\d{2})\s+(\d{2})\s+(\d{2})\s+(\d+\.\d+)\s+(\d+)\s+(\d+)"
 HEADER_END = "END OF HEADER"
 OBS_TYPES = "SYS / # / OBS TYPES"
 FIELD = 16
+MAX_BROADCAST_FILES = 20_000
 
 
 def _label(line: Column) -> Column:
@@ -184,7 +186,9 @@ def read_rinex3(
     ``stripped`` demands files that carry signal strengths only.
     """
     records = read_records(spark, path, "\n>")
-    headers = parse_header(records)
+    # Headers are written out once; while they are few, the epoch blocks meet
+    # them without a shuffle of the text.
+    headers = broadcast_checked(cut_lineage(parse_header(records)), MAX_BROADCAST_FILES)
     if stripped:
         bad = is_stripped(headers).where(~F.col("stripped")).select("path").take(1)
         if bad:

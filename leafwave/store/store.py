@@ -19,6 +19,7 @@ from leafwave.functions.timeutil import between
 from leafwave.operators.dedup import batch_actions, dedup_read, mark_existing, prepare_overwrite
 from leafwave.operators.temporal import resample
 from leafwave.schema import REGISTRY_SCHEMA, nan_to_null
+from leafwave.session import broadcast_checked
 
 LOG_SCHEMA = T.StructType(
     [
@@ -219,7 +220,7 @@ class ObservationStore:
             raise KeyError(f"no group {group!r} on branch {branch!r}")
         written = self.log().select("snapshot_id", F.col("written_at").alias("__at"))
         rows = self._read_dirs(group, head["dirs"]).withColumn("snapshot_id", F.col("commit").cast("string"))
-        rows = rows.join(F.broadcast(written.dropDuplicates(["snapshot_id"])), "snapshot_id", "left")
+        rows = rows.join(broadcast_checked(written.dropDuplicates(["snapshot_id"]), 100_000), "snapshot_id", "left")
         kept = dedup_read(rows, self.registry(group).where(F.col("action") != "skipped"))
         values = [c for c in kept.columns if c not in ("snapshot_id", "__at", "commit", "date")]
         best = kept.groupBy("epoch", "sid").agg(F.max_by(F.struct(*values), "__at").alias("__r"))

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leafwave.session import broadcast_checked, cut_lineage
 from leafwave.sources import rinex3
 from leafwave.sources.lines import file_registry
 from leafwave.store import ObservationStore
@@ -31,7 +32,9 @@ def ingest_batch(store: ObservationStore, group: str, strategy: str) -> Callable
         paths = [r["path"] for r in records.select("path").distinct().collect()]  # maxFilesPerTrigger
         if not paths:
             return
-        obs = rinex3.parse_epochs(records, rinex3.parse_header(records))
+        # A batch has at most max_files headers.
+        headers = broadcast_checked(cut_lineage(rinex3.parse_header(records)), rinex3.MAX_BROADCAST_FILES)
+        obs = rinex3.parse_epochs(records, headers)
         hashes = file_registry(records.sparkSession, paths).select("path", F.col("file_hash").alias("rinex_hash"))
         name = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)  # noqa: E731  (URI forms differ)
         obs = obs.withColumn("__name", name(F.col("path"))).join(

@@ -40,3 +40,18 @@ def test_median_and_mad(data, hot_rows):
         assert got[k]["median"] == pytest.approx(med, abs=1e-12)
         assert got[k]["mad"] == pytest.approx(np.median(np.abs(g["v"] - med)), abs=1e-12)
         assert got[k]["n_obs"] == len(g)
+
+
+@pytest.mark.parametrize("hot_rows", [10**9, 500])
+def test_medians_of_several_columns(spark, hot_rows):
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({"k": ["h"] * 2000 + ["c"] * 21 + ["e"] * 2, "a": rng.normal(size=2023), "b": rng.normal(size=2023)})
+    pdf.loc[pdf.k == "e", "b"] = np.nan
+    from leafwave.operators.quantiles import group_medians
+    from leafwave.schema import nan_to_null
+
+    df = nan_to_null(spark.createDataFrame(pdf))
+    got = group_medians(df, ["k"], ["a", "b"], hot_rows=hot_rows).toPandas().set_index("k")
+    want = pdf.groupby("k")[["a", "b"]].median()
+    for c in ("a", "b"):
+        assert np.allclose(got[c].loc[want.index].astype(float), want[c], equal_nan=True)
