@@ -136,9 +136,9 @@ def grid_sql(resolution: float = 10.0, name: str = "grid") -> str:
       CASE WHEN band=0 THEN 1 ELSE greatest(1, CAST(round(2*pi()*(cos(lo)-cos(hi))/(2*pi()*(1-cos(radians({resolution}::DOUBLE)/2)))) AS INT)) END AS n
     FROM {name}_edges),
   {name} AS (SELECT CAST(row_number() OVER (ORDER BY band, k) - 1 AS INT) AS cell_id,
-      CASE WHEN band=0 THEN 0.0 ELSE (k+0.5)*2*pi()/n END AS phi,
+      CASE WHEN band=0 THEN 0.0 ELSE (k*(2*pi()/n) + CASE WHEN k+1=n THEN 2*pi() ELSE (k+1)*(2*pi()/n) END)/2 END AS phi,
       CASE WHEN band=0 THEN 0.0 ELSE (theta_min+theta_max)/2 END AS theta,
-      k*2*pi()/n AS phi_min, (k+1)*2*pi()/n AS phi_max, theta_min, theta_max
+      k*(2*pi()/n) AS phi_min, CASE WHEN k+1=n THEN 2*pi() ELSE (k+1)*(2*pi()/n) END AS phi_max, theta_min, theta_max
     FROM {name}_bands, range(0, n) r(k))"""
 
 
