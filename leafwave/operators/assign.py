@@ -123,22 +123,22 @@ def _by_bands(obs: DataFrame, grid: Grid, theta: str, phi: str) -> tuple[DataFra
     work = obs.withColumns(
         {"__st": F.sin(t), "__ct": F.cos(t), "__turn": turn, "__home": home}
     )
-    for i, step in enumerate((-1, 0, 1)):
-        work = work.withColumn(f"__b{i}", clip(F.col("__home") + step, 0, last))
-        n = F.get(counts, F.col(f"__b{i}"))
-        x = F.col("__turn") * n
-        k = F.floor(x).cast("int")
-        k = F.when(k >= n, n - 1).otherwise(k)
-        # On a sector edge both centres are equally near: the lower id.
-        k = F.when((x - k < 1e-11) & (k > 0), k - 1).otherwise(k)
-        work = work.withColumn(f"__k{i}", k)
+    three = range(3)
+    work = work.withColumns({f"__b{i}": clip(F.col("__home") + (i - 1), 0, last) for i in three})
+    work = work.withColumns({f"__n{i}": F.get(counts, F.col(f"__b{i}")) for i in three})
+    work = work.withColumns({f"__x{i}": F.col("__turn") * F.col(f"__n{i}") for i in three})
+    work = work.withColumns(
+        {f"__k{i}": F.pmod(F.floor(f"__x{i}").cast("int"), F.col(f"__n{i}")) for i in three}
+    )
     dots, ids = [], []
-    for i in range(3):
-        b, k = F.col(f"__b{i}"), F.col(f"__k{i}")
-        away = (F.col("__turn") - (k + F.lit(0.5)) / F.get(counts, b)) * F.lit(TWO_PI)
+    for i in three:
+        b, k, n, x = (F.col(f"__{c}{i}") for c in "bknx")
+        away = (x - (k + F.lit(0.5))) / n * F.lit(TWO_PI)
         dot = F.col("__st") * F.get(sines, b) * F.cos(away) + F.col("__ct") * F.get(cosines, b)
         dots.append(F.round(dot, TIE_DIGITS).alias(f"__d{i}"))
-        ids.append((F.get(firsts, b) + k).alias(f"__i{i}"))
+        # On a sector edge both centres are equally near: the lower id.
+        edge = F.when((x - k < 1e-11) & (k > 0), 1).otherwise(0)
+        ids.append((F.get(firsts, b) + k - edge).alias(f"__i{i}"))
     work = work.select(*obs.columns, *dots, *ids)
     best = F.greatest("__d0", "__d1", "__d2")
     return work, F.least(*[F.when(F.col(f"__d{i}") == best, F.col(f"__i{i}")) for i in range(3)])

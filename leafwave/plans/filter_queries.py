@@ -173,7 +173,7 @@ PIPE_SQL = WITH_PASSES + ", s AS (SELECT avg(SNR) AS m, stddev_pop(SNR) AS sd, q
 
 
 @query(
-    "filter_pipeline_combined",
+    "filter_chain_combined",
     PIPE_SQL + _masked_sql("abs(SNR-m)/sd <= 1.8 AND SNR BETWEEN a-0.6*(b-a) AND b+0.6*(b-a) AND SNR >= 21", "passes, s"),
 )
 def pipeline_combined(spark, sf):
@@ -182,7 +182,7 @@ def pipeline_combined(spark, sf):
 
 
 @query(
-    "filter_pipeline_sequential",
+    "filter_chain_sequential",
     PIPE_SQL + _masked_sql("abs(SNR-m)/sd <= 1.8 AND SNR BETWEEN a-0.6*(b-a) AND b+0.6*(b-a)", "passes, s"),
 )
 def pipeline_sequential(spark, sf):
@@ -223,14 +223,14 @@ def percell_percentile(spark, sf):
     return _masked(fl.PerCellPercentile(5, 95).apply(cell_passes(spark, sf), "SNR"), "percentile")
 
 
-@query("percell_pipeline_combined", CELL_SNR_SQL + CSTAT + _masked_sql(f"{IQR_KEEP} AND {Z_KEEP}", "j"))
+@query("percell_chain_combined", CELL_SNR_SQL + CSTAT + _masked_sql(f"{IQR_KEEP} AND {Z_KEEP}", "j"))
 def percell_combined(spark, sf):
     p = fl.PerCellFilterPipeline("SNR").add(fl.PerCellIQR(0.5)).add(fl.PerCellZScore(1.5))
     return _masked(p.apply(cell_passes(spark, sf), "combined", "both"), "both")
 
 
 @query(
-    "percell_pipeline_sequential",
+    "percell_chain_sequential",
     CELL_SNR_SQL + CSTAT + f""", k1 AS (SELECT receiver, sid, epoch, cell_id, CASE WHEN {IQR_KEEP} THEN SNR END AS x FROM j),
 s2 AS (SELECT cell_id, count(x) AS n2, avg(x) AS m2, stddev_pop(x) AS sd2 FROM k1 GROUP BY 1),
 j2 AS (SELECT *, (x IS NULL OR n2 < 5 OR sd2 = 0 OR abs(x-m2)/sd2 <= 1.5) AS ok FROM k1 LEFT JOIN s2 USING (cell_id))
