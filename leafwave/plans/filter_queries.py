@@ -478,14 +478,29 @@ def weights_combined_add(spark, sf):
 
 # -- grids: each generated grid, met with the cells the data falls in ----------
 
+RECT_GRIDS = {
+    "equal_angle": """grid AS (SELECT 0 AS cell_id, 0.0::DOUBLE AS phi, 0.0::DOUBLE AS theta, 2*pi()*(1-cos(radians(5))) AS solid_angle
+  UNION ALL SELECT CAST(1 + (b-1)*36 + k AS INT), (k+0.5::DOUBLE)*2*pi()/36, b*radians(10.0::DOUBLE), 2*pi()/36*(cos((b-0.5::DOUBLE)*radians(10.0::DOUBLE))-cos((b+0.5::DOUBLE)*radians(10.0::DOUBLE))) FROM range(1, 9) x(b), range(0, 36) y(k))""",
+    "equirectangular": """grid AS (SELECT CAST(b*36 + k AS INT) AS cell_id, (k+0.5::DOUBLE)*radians(10.0::DOUBLE) AS phi, (b+0.5::DOUBLE)*radians(10.0::DOUBLE) AS theta,
+    radians(10.0::DOUBLE)*(cos(b*radians(10.0::DOUBLE))-cos((b+1)*radians(10.0::DOUBLE))) AS solid_angle FROM range(0, 9) x(b), range(0, 36) y(k))""",
+}
+
 for _kind, _res in (("equal_angle", 10.0), ("equirectangular", 10.0), ("htm", 10.0), ("geodesic", 10.0),
                     ("healpix", 10.0), ("fibonacci", 10.0)):
+    _sql = None
+    if _kind in RECT_GRIDS:
+        _sql = (
+            WITH_PASSES + "," + RECT_GRIDS[_kind] + "," + nearest_sql("passes", "cells")
+            + " SELECT g.cell_id, round(phi,6) AS phi, round(theta,6) AS theta, round(solid_angle,6) AS solid_angle, n"
+            " FROM grid g LEFT JOIN (SELECT cell_id, count(*) AS n FROM cells GROUP BY 1) h USING (cell_id)"
+        )
 
-    @query(f"grid_{_kind}_coverage")
+    @query(f"grid_{_kind}_coverage", _sql)
     def _coverage(spark, sf, kind=_kind, res=_res):
         """Cells of the grid with their solid angle and the observations nearest to them.
 
-        No SQL: the tests check the assignment against brute force.
+        The triangular, HEALPix and Fibonacci grids have no SQL: the tests
+        check their assignment against brute force.
         """
         grid = cached_grid(kind, res)
         hits = assign_cells(passes(spark, sf), grid, out="cell_id").groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
