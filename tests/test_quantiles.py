@@ -55,3 +55,18 @@ def test_medians_of_several_columns(spark, hot_rows):
     want = pdf.groupby("k")[["a", "b"]].median()
     for c in ("a", "b"):
         assert np.allclose(got[c].loc[want.index].astype(float), want[c], equal_nan=True)
+
+
+def test_sketch_quantiles_keep_their_rank_error(data):
+    from leafwave.operators.quality import distribution_summary
+
+    pdf, df = data
+    probs = (0.05, 0.25, 0.5, 0.75, 0.95)
+    for r in distribution_summary(df, "v", ["k"], probs, epsilon=0.01).collect():
+        values = np.sort(pdf[pdf.k == r["k"]]["v"].to_numpy())
+        assert r["n"] == len(values)
+        for p, q in zip(probs, r["quantiles"]):
+            low, high = np.searchsorted(values, q, "left"), np.searchsorted(values, q, "right")
+            rank = p * len(values)
+            slack = 0.01 * len(values) + 1
+            assert low - slack <= rank <= high + slack
