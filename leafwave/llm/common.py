@@ -10,7 +10,9 @@ from leafwave.session import checkpoint_dir
 
 #: Separators between words: space and the ASCII controls tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
-SPACE_RUN = "[\\x20\\x09-\\x0D]+"
+SPACE = "[\\x20\\x09-\\x0D]"
+SPACE_RUN = f"{SPACE}+"
+WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -32,7 +34,7 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of words without building them: starts of runs that are not separators."""
-    return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def only(df: DataFrame, **columns: str) -> DataFrame:

@@ -3,7 +3,7 @@
 A line fails when it has a word and one of these holds:
 
 * punctuation: marks that prose hardly uses, and doubled exclamation or question
-  marks, make up more than ``max_marks`` of its characters that are not spaces,
+  marks (a pair counts once), make up more than ``max_marks`` of its characters that are not spaces,
   or it ends without a closing mark and has fewer than ``min_open_words`` words;
 * navigation: it has at least two menu separators and one for every
   ``words_per_separator`` words or fewer;
@@ -27,10 +27,11 @@ than the text are never looked at.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafwave.llm.common import SPACES, once, words
+from leafwave.llm.common import SPACE, SPACES, WORD, once, words
 
 # -- fixed values ------------------------------------------------------------
 SYMBOLS = "#*$%&|<>"
@@ -66,8 +67,9 @@ class Rules:
     max_lost: float = 0.3
 
 
-def _count_of(text: Column, characters: str) -> Column:
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+def _any_of(characters: str) -> str:
+    """A character class, written alike for Java and RE2."""
+    return "[" + "".join("\\" + c if c in "\\[]^-&" else c for c in characters) + "]"
 
 
 def _stage(df: DataFrame, **columns: Column) -> DataFrame:
@@ -76,23 +78,18 @@ def _stage(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def line_fails(line: Column, r: Rules) -> Column:
-    """Whether one line breaks a rule; false for a line without a word."""
-    solid = F.char_length(F.translate(line, SPACES, ""))
-    n = F.size(words(line))
-    doubled = F.char_length(line) - F.char_length(F.replace(F.replace(line, F.lit("!!"), F.lit("")), F.lit("??"), F.lit("")))
-    marks = _count_of(line, ODD_MARKS) + doubled
-    ended = F.rtrim(F.translate(line, SPACES[1:], " "))
-    closed = F.lit(CLOSING_MARKS).contains(F.right(ended, F.lit(1)))
-    separators = _count_of(line, SEPARATORS)
-    lower = F.lower(line)
-    furniture = F.lit(False)
-    for phrase in BOILERPLATE:
-        furniture = furniture | lower.contains(phrase)
-    return (solid > 0) & (
-        (marks > solid * F.lit(r.max_marks))
-        | (~closed & (n < r.min_open_words))
+    """Whether one line breaks a rule; false for a line without a word. Cheap tests come first."""
+    solid = F.char_length(line) - F.regexp_count(line, F.lit(SPACE))
+    n = F.regexp_count(line, F.lit(WORD))
+    marks = F.regexp_count(line, F.lit(f"{_any_of(ODD_MARKS)}|!!|\\?\\?"))
+    closed = F.lit(CLOSING_MARKS).contains(F.right(F.rtrim(line, F.lit(SPACES)), F.lit(1)))
+    separators = F.regexp_count(line, F.lit(_any_of(SEPARATORS)))
+    furniture = reduce(lambda a, b: a | b, [F.lower(line).contains(phrase) for phrase in BOILERPLATE])
+    return line.rlike(WORD) & (
+        (~closed & (n < r.min_open_words))
+        | (marks > solid * F.lit(r.max_marks))
         | ((separators >= 2) & (separators * r.words_per_separator >= n))
-        | (furniture & (n <= r.max_boilerplate_words))
+        | ((n <= r.max_boilerplate_words) & furniture)
     )
 
 
@@ -116,7 +113,7 @@ def judge_lines(docs: DataFrame, text: str = "text", rules: Rules = Rules()) ->
         __qr_windows=F.transform(
             F.slice(w, F.lit(1), full), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2))
         ),
-        __qr_worded=F.filter(lines, lambda x: F.char_length(F.translate(x, SPACES, "")) > 0),
+        __qr_worded=F.filter(lines, lambda x: x.rlike(WORD)),
         __qr_left=F.filter(lines, lambda x: ~line_fails(x, rules)),
     )
     # Windows sorted with their places; equal ones are then neighbours. Empty where all differ.
@@ -138,7 +135,7 @@ def judge_lines(docs: DataFrame, text: str = "text", rules: Rules = Rules()) ->
             ),
             lambda x: x["i"],
         ),
-        __qr_kept=F.size(words(clean)),
+        __qr_kept=F.when(F.size(left) == F.size(lines), F.size(w)).otherwise(F.coalesce(F.regexp_count(clean, F.lit(WORD)), F.lit(0))),
     )
     covered = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2))))
     n, rep, kept_words = (F.col(f"__qr_{x}") for x in ("n", "rep", "kept"))
@@ -147,8 +144,8 @@ def judge_lines(docs: DataFrame, text: str = "text", rules: Rules = Rules()) ->
     enough = kept_words >= n * F.lit(1.0 - rules.max_lost)
     verdict = F.struct(
         n.alias("n_words"),
-        F.char_length(F.translate(safe, SPACES, "")).cast("long").alias("word_chars"),
-        _count_of(safe, SYMBOLS).cast("long").alias("n_symbols"),
+        F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        F.regexp_count(safe, F.lit(_any_of(SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size(worded) - F.size(F.array_distinct(worded))).cast("long").alias("n_dup_lines"),
         rep.alias("n_repeat_words"),
         (F.size(lines) - F.size(left)).cast("long").alias("n_failed_lines"),

@@ -156,7 +156,7 @@ windows AS (
   SELECT *, list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS g,
     list_filter(lines, lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS worded,
     list_filter(lines, lambda x: NOT ({_SOLID} > 0 AND (
-        {_marks("x", quality_rules.ODD_MARKS)} + (length(x) - length(replace(replace(x, '!!', ''), '??', ''))) > {_R.max_marks} * {_SOLID}
+        len(regexp_extract_all(x, '{quality_rules._any_of(quality_rules.ODD_MARKS)}|!!|\\?\\?')) > {_R.max_marks} * {_SOLID}
         OR (NOT contains('{quality_rules.CLOSING_MARKS.replace("'", "''")}', right(rtrim(regexp_replace(x, '[\\x09-\\x0D]', ' ', 'g'), ' '), 1)) AND {_LINE_WORDS} < {_R.min_open_words})
         OR ({_marks("x", quality_rules.SEPARATORS)} >= 2 AND {_marks("x", quality_rules.SEPARATORS)} * {_R.words_per_separator} >= {_LINE_WORDS})
         OR (({" OR ".join(f"contains(lower(x), '{b}')" for b in quality_rules.BOILERPLATE)}) AND {_LINE_WORDS} <= {_R.max_boilerplate_words})))) AS remaining
