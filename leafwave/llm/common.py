@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -49,3 +52,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def once(value: Column) -> Column:
     """``value`` as a generated column: filters on it stay above it, so it is worked out once per row."""
     return F.explode(F.array(value))
+
+
+def kept_in_worker(name: str, make: Callable[[], object]):
+    """What ``make`` gives, made once per Python worker and used again by its later tasks."""
+    held = sys.modules.setdefault("_leafwave_worker", types.ModuleType("_leafwave_worker"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)

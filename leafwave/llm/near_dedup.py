@@ -42,7 +42,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from leafwave.llm.common import only, saved
+from leafwave.llm.common import kept_in_worker, only, saved
 from leafwave.llm.url_filter import bloom_blocks, possible
 
 #: Words per element.
@@ -151,7 +151,7 @@ def signed_texts(docs: DataFrame, how: Bands) -> DataFrame:
     """(doc_id, node, buckets, cells) of every document with text; ``node`` is the text's 128-bit hash."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = kept_in_worker("word hashes", WordHashes)
         for batch in batches:
             for start in range(0, len(batch), TOGETHER):
                 part = batch.iloc[start : start + TOGETHER]

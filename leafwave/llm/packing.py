@@ -30,15 +30,15 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from leafwave.llm.common import only
+from leafwave.llm.common import kept_in_worker, only
 
 SEQUENCE = 2048
 END_ID = 0
 OPEN_BINS = 4096
 #: Pieces a packer holds back to place the longest of them first.
 LOOKAHEAD = 2000
-#: Chunks a worker remembers before it starts over; about 100 MB.
-REMEMBERED = 500_000
+#: Chunks a worker remembers before it starts over; about 200 MB.
+REMEMBERED = 1_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -109,7 +109,7 @@ def cut(docs: DataFrame, tokenizer_path: str, length: int = SEQUENCE) -> DataFra
     """One row per piece of every document."""
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path)
+        encode = kept_in_worker(f"encoder of {tokenizer_path}", lambda: encoder(tokenizer_path))
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows = [
