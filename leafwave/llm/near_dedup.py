@@ -14,10 +14,13 @@ share none of the 32 bands with a probability below 1e-4. Texts in a common
 bucket are compared by stars, never by all pairs: each round picks centres in
 every bucket and compares them, exactly, with the bucket's texts of other
 classes. The first centre is the text that meets most others, the natural
-original of a group of copies. Found links merge classes, buckets that hold one
-class are done, and the others get twice as many centres as before, until each
-pair of texts with a bucket in common has been compared or lies in one class.
-No link that the bands show is lost, however large the bucket.
+original of a group of copies. Found links merge classes, and buckets that hold
+one class are done. A bucket with up to ``SMALL`` texts in several classes is
+worked through until each pair in it has been compared or lies in one class.
+In a larger one, of texts that share much but are mostly no duplicates, centre
+follows centre as long as a round finds any link anywhere; comparing all its
+pairs would grow with the square. Two texts of 0.8 similarity meet in eight
+buckets on average, and most of those are small.
 
 Exact copies count as one text throughout, so a group of thousands costs one
 signature row per copy and nothing after. All grouping is by text, bucket or
@@ -60,6 +63,8 @@ class Bands:
         return self.bands * self.rows
 
 
+#: Texts of several classes in a bucket of which all pairs are compared, at most 28.
+SMALL = 8
 #: Words a worker remembers before it starts over.
 REMEMBERED = 300_000
 #: Texts whose darts are thrown together.
@@ -211,24 +216,26 @@ def similar(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:
 
 def bucket_links(left: DataFrame, nodes: DataFrame, cells: DataFrame, least: float) -> DataFrame:
     """(node, label): classes of the texts in ``left`` (bucket, node, popular), compared star by star."""
-    names, links, centres_per_bucket = nodes.select("node", F.col("node").alias("label")), None, 1
+    names, links, idle = nodes.select("node", F.col("node").alias("label")), None, False
     while True:
         tagged = saved(left.join(names, "node"))
-        mixed_buckets = saved(tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi"))
-        if mixed_buckets.isEmpty():
+        open_buckets = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
+        open_buckets = saved(open_buckets.where(F.col("lo") != F.col("hi")).where((F.col("n") <= SMALL) | F.lit(not idle)))
+        if open_buckets.isEmpty():
             return names
-        tagged = saved(tagged.join(mixed_buckets, "bucket").select("bucket", "node", "popular", "label"))
-        group = F.pmod(F.xxhash64("node", "bucket"), F.lit(centres_per_bucket))
+        tagged = saved(tagged.join(open_buckets.select("bucket", "n"), "bucket"))
+        group = F.when(F.col("n") > SMALL, F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "bucket"), F.lit(4)))
         centres = tagged.groupBy("bucket", group.alias("group")).agg(F.max(F.struct("popular", "node", "label")).alias("c"))
         centres = saved(centres.select("bucket", F.col("c.node").alias("centre"), F.col("c.label").alias("at")))
         met = tagged.join(centres, "bucket").where("node <> centre and label <> at")
         pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         found = saved(similar(saved(pairs.distinct()), cells, least))
-        links = found if links is None else saved(links.unionByName(found))
-        names = merge_classes(nodes, links)
+        idle = idle or found.isEmpty()
+        if not found.isEmpty():
+            links = found if links is None else saved(links.unionByName(found))
+            names = merge_classes(nodes, links)
         done = centres.select("bucket", F.col("centre").alias("node"))
-        left = tagged.drop("label").join(done, ["bucket", "node"], "left_anti")
-        centres_per_bucket = max(8, 2 * centres_per_bucket)
+        left = tagged.select("bucket", "node", "popular").join(done, ["bucket", "node"], "left_anti")
 
 
 def duplicate_classes(docs: DataFrame, how: Bands = Bands(), least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -246,7 +253,7 @@ def duplicate_classes(docs: DataFrame, how: Bands = Bands(), least: float = SIMI
     left = left.select("bucket", "node").join(nodes, "node")
     # The filter spares the shuffle most texts that meet no other; the join is what decides.
     near = possible(signed.select(F.col("node").alias("key"), "cells"), bloom_blocks(nodes.select(F.col("node").alias("key"))))
-    near = near.select(F.col("key").alias("node"), "cells").join(nodes.select("node"), "node", "left_semi")
+    near = near.select(F.col("key").alias("node"), "cells").join(nodes.select("node"), "node")
     cells = saved(near.groupBy("node").agg(F.first("cells").alias("cells")))
     names = bucket_links(left, nodes, cells, least)
     named = saved(texts.select("node", "first_id").join(names, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "first_id"))
