@@ -18,8 +18,8 @@ original of a group of copies. Found links merge classes, and buckets that hold
 one class are done. A bucket with up to ``SMALL`` texts in several classes is
 worked through until each pair in it has been compared or lies in one class.
 In a larger one, of texts that share much but are mostly no duplicates, centre
-follows centre as long as a round finds any link anywhere; comparing all its
-pairs would grow with the square. Two texts of 0.8 similarity meet in eight
+follows centre until fewer than one in ``WORTH`` comparisons of a round finds a
+link; comparing all its pairs would grow with the square. Two texts of 0.8 similarity meet in eight
 buckets on average, and most of those are small.
 
 Exact copies count as one text throughout, so a group of thousands costs one
@@ -65,6 +65,7 @@ class Bands:
 
 #: Texts of several classes in a bucket of which all pairs are compared, at most 28.
 SMALL = 8
+WORTH = 1000
 #: Words a worker remembers before it starts over.
 REMEMBERED = 300_000
 #: Texts whose darts are thrown together.
@@ -229,9 +230,11 @@ def bucket_links(left: DataFrame, nodes: DataFrame, cells: DataFrame, least: flo
         centres = saved(centres.select("bucket", F.col("c.node").alias("centre"), F.col("c.label").alias("at")))
         met = tagged.join(centres, "bucket").where("node <> centre and label <> at")
         pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        found = saved(similar(saved(pairs.distinct()), cells, least))
-        idle = idle or found.isEmpty()
-        if not found.isEmpty():
+        pairs = saved(pairs.distinct())
+        found = saved(similar(pairs, cells, least))
+        n_found = found.count()
+        idle = idle or n_found * WORTH < pairs.count()
+        if n_found:
             links = found if links is None else saved(links.unionByName(found))
             names = merge_classes(nodes, links)
         done = centres.select("bucket", F.col("centre").alias("node"))
