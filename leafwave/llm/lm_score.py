@@ -28,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from leafwave.llm.common import only, words
+from leafwave.llm.common import kept_in_worker, only, words
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,7 @@ class Network:
     hashed: int = 64
     side: int = 2
     hidden: int = 16
-    mask: int = 8
+    mask: int = 16
     rounds: int = 2
     batch: int = 512
     rate: float = 0.1
@@ -90,6 +90,11 @@ class WordIds(dict):
         return at
 
 
+def remembered_ids(own: dict[str, int], net: Network) -> WordIds:
+    """The worker's ids for this vocabulary."""
+    return kept_in_worker(f"word ids {xxhash.xxh64_hexdigest(repr((net, own)))}", lambda: WordIds(own, net))
+
+
 def padded_ids(text: str | None, ids: WordIds, net: Network) -> np.ndarray:
     """A text's word ids with ``side`` edge marks around."""
     found = text.lower().split() if isinstance(text, str) else []
@@ -188,7 +193,7 @@ def train(docs: DataFrame, own: dict[str, int], net: Network) -> np.ndarray:
 
         def fit(batches: Iterator[pd.DataFrame], shipped=shipped, turn=turn) -> Iterator[pd.DataFrame]:
             texts = (t for batch in batches for t in batch["text"])
-            trained, seen = train_part(texts, shipped.value, WordIds(own, net), net, turn)
+            trained, seen = train_part(texts, shipped.value, remembered_ids(own, net), net, turn)
             if seen:
                 yield pd.DataFrame({"seen": [seen], "value": [trained]})
 
@@ -208,7 +213,7 @@ def score(docs: DataFrame, net: Network = Network()) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(train(docs, own, net))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, parts = WordIds(own, net), net.split(shipped.value)
+        ids, parts = remembered_ids(own, net), net.split(shipped.value)
         for batch in batches:
             n, total = np.empty(len(batch), np.int64), np.empty(len(batch))
             for i, text in enumerate(batch["text"]):
