@@ -29,8 +29,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leafwave.llm.common import SPACES, only, words
-from leafwave.llm.quality_rules import CLOSING_MARKS, ODD_MARKS, SEPARATORS
+from leafwave.llm.common import SPACES, WORD, once, only, saved, words
+from leafwave.llm.quality_rules import CLOSING_MARKS, ODD_MARKS, SEPARATORS, _any_of
 
 LABELLERS = ("length", "marks", "closing", "stutter", "capitals", "separators", "lines", "variety")
 
@@ -59,16 +59,16 @@ def votes(docs: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "n": F.size(w),
-            "lines": F.filter("lines", lambda x: F.char_length(F.translate(x, SPACES, "")) > 0),
-            "solid": F.char_length(F.translate(t, SPACES, "")),
-            "odd": F.char_length(t) - F.char_length(F.translate(t, ODD_MARKS, "")) + F.regexp_count(t, F.lit(r"[!?]{2,}")) * 2,
-            "bars": F.char_length(t) - F.char_length(F.translate(t, SEPARATORS, "")),
+            "lines": F.filter("lines", lambda x: x.rlike(WORD)),
+            "solid": F.char_length(F.array_join(w, "")),
+            "odd": F.regexp_count(t, F.lit(_any_of(ODD_MARKS))) + F.regexp_count(t, F.lit(r"[!?]{2,}")) * 2,
+            "bars": F.regexp_count(t, F.lit(_any_of(SEPARATORS))),
             "capital": F.regexp_count(t, F.lit(r"\p{Lu}")),
             "again": F.size(F.filter(F.transform(w, lambda x, i: F.coalesce(F.get(w, i - 1) == x, F.lit(False))), lambda x: x)),
             "kinds": F.size(F.array_distinct(w)),
         }
     )
-    closed = F.size(F.filter("lines", lambda x: F.lit(CLOSING_MARKS).contains(F.right(F.rtrim(F.translate(x, SPACES[1:], " ")), F.lit(1)))))
+    closed = F.size(F.filter("lines", lambda x: F.lit(CLOSING_MARKS).contains(F.right(F.rtrim(x, F.lit(SPACES)), F.lit(1)))))
     n, n_lines = F.col("n"), F.size("lines")
     some = n > 0
     copies = n_lines - F.size(F.array_distinct("lines"))
@@ -80,7 +80,7 @@ def votes(docs: DataFrame) -> DataFrame:
         _vote(some & (F.col("bars") > 0.2 * n), some & (F.col("bars") == 0)), \
         _vote(some & (copies > 0.3 * n_lines), (n_lines >= 3) & (copies == 0)), \
         _vote((n >= 50) & (F.col("kinds") < 0.2 * n), (n >= 50) & (F.col("kinds") > 0.35 * n))
-    return rows.select("doc_id", "text", F.array(*cast).alias("votes"))
+    return rows.select("doc_id", "text", once(F.array(*cast)).alias("votes"))
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray, float]:
@@ -178,11 +178,13 @@ def learn(texts: list[str], targets: np.ndarray, how: Scorer) -> tuple[np.ndarra
 
 def score(docs: DataFrame, how: Scorer = Scorer()) -> DataFrame:
     """(doc_id, posterior, score, kept): the weak label's and the scorer's probability of good, and the scorer's verdict."""
-    voted = votes(docs)
+    voted = saved(votes(docs).withColumn("turn", F.xxhash64("doc_id", "text")))
     chance, share = posteriors(voted)
-    judged = voted.select("doc_id", "text", posterior_of(chance, share).alias("posterior"))
-    order = F.xxhash64(F.coalesce("text", F.lit("")))
-    sample = judged.orderBy(order, "doc_id").limit(how.sample).select(F.lit(0).alias("one"), "doc_id", "text", "posterior")
+    judged = voted.select("doc_id", "text", "turn", posterior_of(chance, share).alias("posterior"))
+    # The sample's last turn is found on bare numbers, so few texts beyond the sample are moved.
+    last = voted.select("turn").orderBy("turn").limit(how.sample).agg(F.max("turn").alias("turn")).collect()[0]["turn"]
+    sample = judged.where(F.col("turn") <= F.lit(last)).orderBy("turn", "doc_id").limit(how.sample)
+    sample = sample.select(F.lit(0).alias("one"), "doc_id", "text", "posterior")
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t if isinstance(t, str) else "" for t in rows["text"]]
@@ -204,5 +206,5 @@ def score(docs: DataFrame, how: Scorer = Scorer()) -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "posterior": batch["posterior"], "score": p})
 
-    scored = judged.mapInPandas(apply, "doc_id long, posterior double, score double")
+    scored = judged.drop("turn").mapInPandas(apply, "doc_id long, posterior double, score double")
     return scored.withColumn("kept", F.col("score") >= how.keep_at)
