@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,17 +37,35 @@ def available(kind: str) -> list[str]:
     return sorted(REGISTRIES[kind])
 
 
+def detect_formats(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """Files of each format, every file judged by its own name and first line; one row per file reaches the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("at"),
+    )
+    heads = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    found: dict[str, list[str]] = {}
+    unknown = []
+    for row in sniff(heads).select("path", "format").orderBy("path").collect():
+        (unknown if row["format"] is None else found.setdefault(row["format"], [])).append(row["path"])
+    if unknown or not found:
+        raise ValueError(f"cannot tell the format of {unknown or path}")
+    return found
+
+
 def detect_format(spark: SparkSession, path: str) -> str:
-    """Format of one file, from its first line."""
-    head = spark.read.text(path).select(F.lit(path).alias("path"), F.col("value").alias("line")).limit(1)
-    row = sniff(head).first()
-    if row is None or row["format"] is None:
-        raise ValueError(f"cannot tell the format of {path}")
-    return row["format"]
+    """The one format of the file, or files, at ``path``."""
+    found = detect_formats(spark, path)
+    if len(found) > 1:
+        raise ValueError(f"{path} holds files of several formats: {sorted(found)}")
+    return next(iter(found))
 
 
 def read_any(spark: SparkSession, path: str, reader: str | None = None, **options) -> DataFrame:
-    name = reader or detect_format(spark, path)
-    if name not in READERS:
-        raise ValueError(f"unknown reader {name!r}; one of {available('reader')}")
-    return READERS[name](spark, path, **options)
+    """Rows of all files, each read by the reader of its format unless one is named."""
+    parts = {reader: path} if reader else detect_formats(spark, path)
+    for name in parts:
+        if name not in READERS:
+            raise ValueError(f"unknown reader {name!r}; one of {available('reader')}")
+    tables = [READERS[name](spark, files, **options) for name, files in parts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from leafwave.functions.timeutil import micros
 from leafwave.operators.asof import nearest_asof
+from leafwave.operators.temporal import median_epoch_spacing
 
 Interpolator = Callable[[DataFrame, DataFrame], DataFrame]
 
 
 def interval_seconds(df: DataFrame) -> float:
-    """Seconds between the first two epochs; two rows reach the driver."""
-    rows = df.select("epoch").distinct().orderBy("epoch").limit(2).collect()
-    if len(rows) < 2:
+    """Median seconds between distinct epochs, so that one gap or odd start decides nothing."""
+    spacing = median_epoch_spacing(df)
+    if spacing is None:
         raise ValueError("need at least two epochs")
-    return (rows[1]["epoch"] - rows[0]["epoch"]).total_seconds()
+    return spacing
 
 
 def match(

@@ -36,11 +36,12 @@ def ingest_batch(store: ObservationStore, group: str, strategy: str) -> Callable
         headers = broadcast_checked(cut_lineage(rinex3.parse_header(records)), rinex3.MAX_BROADCAST_FILES)
         obs = rinex3.parse_epochs(records, headers)
         hashes = file_registry(records.sparkSession, paths).select("path", F.col("file_hash").alias("rinex_hash"))
-        name = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)  # noqa: E731  (URI forms differ)
-        obs = obs.withColumn("__name", name(F.col("path"))).join(
-            hashes.select(name(F.col("path")).alias("__name"), "rinex_hash"), "__name"
+        # Whole paths: receivers reuse names per folder. Only the URI's form (file:/ or file:///) differs.
+        place = lambda c: F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:/+|^/+", "/")
+        obs = obs.withColumn("__place", place(F.col("path"))).join(
+            hashes.select(place(F.col("path")).alias("__place"), "rinex_hash"), "__place"
         )
-        store.write_batch(obs.drop("__name"), group, strategy, message=f"batch {batch_id}")
+        store.write_batch(obs.drop("__place"), group, strategy, message=f"batch {batch_id}")
 
     return step
 

@@ -172,6 +172,12 @@ def test_nmea(spark, tmp_path):
     }
     assert detect_format(spark, str(tmp_path / "l.nmea")) == "nmea"
     assert read_any(spark, str(tmp_path / "l.nmea")).count() == 6
+    (tmp_path / "a.rnx").write_text(rinex3_text())
+    alone = read_rinex3(spark, str(tmp_path / "a.rnx")).count()
+    assert alone > 0 and read_any(spark, str(tmp_path)).count() == 6 + alone
+    (tmp_path / "x.txt").write_text("nothing known\n")
+    with pytest.raises(ValueError, match="x.txt"):
+        read_any(spark, str(tmp_path))
 
 
 def test_products(spark, tmp_path):
