@@ -19,8 +19,12 @@ one class are done. A bucket with up to ``SMALL`` texts in several classes is
 worked through until each pair in it has been compared or lies in one class.
 In a larger one, of texts that share much but are mostly no duplicates, centre
 follows centre until fewer than one in ``WORTH`` comparisons of a round finds a
-link; comparing all its pairs would grow with the square. Two texts of 0.8 similarity meet in eight
-buckets on average, and most of those are small.
+link. What is still mixed then goes another way, without loss: each of its
+texts is put under its rarest elements, as many as two texts of the wanted
+similarity cannot avoid having one of in common, and those groups are worked
+through to the end. Passages that many texts share are not rare, so texts that
+only share those do not meet there. Texts are not compared where their numbers
+of elements, or of those from the common one on, rule the similarity out.
 
 Exact copies count as one text throughout, so a group of thousands costs one
 signature row per copy and nothing after. All grouping is by text, bucket or
@@ -65,6 +69,7 @@ class Bands:
 
 #: Texts of several classes in a bucket of which all pairs are compared, at most 28.
 SMALL = 8
+#: Comparisons a link may cost before larger buckets go by their rarest elements.
 WORTH = 1000
 #: Words a worker remembers before it starts over.
 REMEMBERED = 300_000
@@ -154,7 +159,7 @@ def buckets(signatures: np.ndarray, how: Bands) -> np.ndarray:
 
 
 def signed_texts(docs: DataFrame, how: Bands) -> DataFrame:
-    """(doc_id, node, buckets, cells) of every document with text; ``node`` is the text's 128-bit hash."""
+    """(doc_id, node, buckets, cells, n_cells) of every document with text; ``node`` is the text's 128-bit hash."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = kept_in_worker("word hashes", WordHashes)
@@ -168,18 +173,20 @@ def signed_texts(docs: DataFrame, how: Bands) -> DataFrame:
                     found = buckets(dart_signatures([sets[i] for i in worded], how.coordinates), how).view(np.int64)
                     for i, b in zip(worded, found):
                         rows[i] = b
+                cells = [np.unique(s.astype(np.uint32).view(np.int32)) for s in sets]
                 yield pd.DataFrame(
                     {
                         "doc_id": part["doc_id"].astype("Int64"),
                         "node": part["node"],
                         "buckets": rows,
-                        "cells": [np.unique(s.astype(np.uint32).view(np.int32)) for s in sets],
+                        "cells": cells,
+                        "n_cells": [len(c) for c in cells],
                     }
                 )
 
     texts = only(docs, doc_id="doc_id", text="text").where("text is not null")
     texts = texts.select("doc_id", F.unhex(F.md5("text")).alias("node"), "text")
-    return texts.mapInPandas(sign, "doc_id long, node binary, buckets array<long>, cells array<int>")
+    return texts.mapInPandas(sign, "doc_id long, node binary, buckets array<long>, cells array<int>, n_cells int")
 
 
 def merge_classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -216,29 +223,78 @@ def similar(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:
 
 
 def bucket_links(left: DataFrame, nodes: DataFrame, cells: DataFrame, least: float) -> DataFrame:
-    """(node, label): classes of the texts in ``left`` (bucket, node, popular), compared star by star."""
-    names, links, idle = nodes.select("node", F.col("node").alias("label")), None, False
+    """(node, label): classes of the texts in ``left`` (bucket, node, popular, n_cells)."""
+    left = left.withColumn("reach", F.col("n_cells"))
+    names = nodes.select("node", F.col("node").alias("label"))
+    names, links, rest = by_stars(left, nodes, names, None, cells, least, WORTH)
+    if rest is None:
+        return names
+    mixed_buckets = rest.join(names, "node").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rest = rest.join(mixed_buckets.where("lo <> hi").select("bucket"), "bucket").select("node").distinct()
+    rare = rarest_elements(saved(rest.join(nodes, "node")), cells, least)
+    return by_stars(rare, nodes, names, links, cells, least)[0]
+
+
+def rarest_elements(texts: DataFrame, cells: DataFrame, least: float) -> DataFrame:
+    """(bucket, node, popular, n_cells, reach): each of ``texts`` under the rarest of its elements, where another has it too.
+
+    In one order of all elements, two texts of at least ``least`` similarity
+    have ``least * size`` in common, so they share one among the first
+    ``size - least * size + 1`` of each. ``reach`` counts the text's elements
+    from this one on: no more can be in common with a text that shares none before.
+    """
+    each = saved(cells.join(texts, "node").select("node", "popular", "n_cells", F.explode("cells").alias("bucket")))
+    common = each.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = each.join(common, "bucket").groupBy("node", "popular", "n_cells").agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("own"))
+    # Elements no other text has come first; the shared ones begin after them.
+    shared = shared.withColumn("alone", F.col("n_cells") - F.size("own"))
+    first = F.col("n_cells") - F.ceil(F.col("n_cells") * F.lit(least) - F.lit(1e-9)) + 1 - F.col("alone")
+    shared = shared.withColumn("own", F.slice("own", F.lit(1), F.greatest(first, F.lit(0)).cast("int")))
+    placed = shared.select("node", "popular", "n_cells", "alone", F.posexplode("own.bucket").alias("at", "bucket"))
+    return saved(placed.select("bucket", "node", "popular", "n_cells", (F.col("n_cells") - F.col("alone") - F.col("at")).alias("reach")))
+
+
+def by_stars(
+    left: DataFrame, nodes: DataFrame, names: DataFrame, links: DataFrame | None, cells: DataFrame, least: float, worth: int | None = None
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Classes (node, label) after comparing the texts of every bucket, all links found, and what is left.
+
+    Without ``worth`` every bucket is worked through, large ones with twice as
+    many centres each round. With it large ones stop after a round with fewer
+    links than one in ``worth``; their (bucket, node) not compared with all the
+    others come back as the third table. The smaller text of a pair needs a
+    ``reach`` of as many elements as equal sizes call for, so only such texts
+    become centres, and a bucket without one is done.
+    """
+    rest, turn = None, 0
+    leads = F.col("reach") * F.lit(1 + least) >= F.lit(2 * least) * F.col("n_cells") - F.lit(1e-9)
     while True:
         tagged = saved(left.join(names, "node"))
-        open_buckets = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-        open_buckets = saved(open_buckets.where(F.col("lo") != F.col("hi")).where((F.col("n") <= SMALL) | F.lit(not idle)))
+        open_buckets = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.max(leads).alias("led"))
+        open_buckets = saved(open_buckets.where((F.col("lo") != F.col("hi")) & F.col("led")).where((F.col("n") <= SMALL) | F.lit(rest is None)))
         if open_buckets.isEmpty():
-            return names
+            return names, links, rest
         tagged = saved(tagged.join(open_buckets.select("bucket", "n"), "bucket"))
-        group = F.when(F.col("n") > SMALL, F.lit(0)).otherwise(F.pmod(F.xxhash64("node", "bucket"), F.lit(4)))
-        centres = tagged.groupBy("bucket", group.alias("group")).agg(F.max(F.struct("popular", "node", "label")).alias("c"))
-        centres = saved(centres.select("bucket", F.col("c.node").alias("centre"), F.col("c.label").alias("at")))
-        met = tagged.join(centres, "bucket").where("node <> centre and label <> at")
+        in_large = F.lit(1 if worth else 2**turn)
+        group = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("n") > SMALL, in_large).otherwise(F.lit(4)))
+        centres = tagged.where(leads).groupBy("bucket", group.alias("group")).agg(F.max(F.struct("popular", "node", "label", "n_cells", "reach")).alias("c"))
+        centres = centres.select("bucket", F.col("c.node").alias("centre"), F.col("c.label").alias("at"), F.col("c.n_cells").alias("size"), F.col("c.reach").alias("far"))
+        centres = saved(centres)
+        # common / (all - common) >= least, with as many in common as there can be
+        fits = F.least("reach", "far") * F.lit(1 + least) >= F.lit(least) * (F.col("n_cells") + F.col("size")) - F.lit(1e-9)
+        met = tagged.join(centres, "bucket").where("node <> centre and label <> at").where(fits)
         pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         pairs = saved(pairs.distinct())
         found = saved(similar(pairs, cells, least))
         n_found = found.count()
-        idle = idle or n_found * WORTH < pairs.count()
         if n_found:
             links = found if links is None else saved(links.unionByName(found))
             names = merge_classes(nodes, links)
         done = centres.select("bucket", F.col("centre").alias("node"))
-        left = tagged.select("bucket", "node", "popular").join(done, ["bucket", "node"], "left_anti")
+        left = tagged.join(done, ["bucket", "node"], "left_anti")
+        if worth and rest is None and n_found * worth < pairs.count():
+            rest = saved(left.where(F.col("n") > SMALL).select("bucket", "node"))
+        left, turn = left.select("bucket", "node", "popular", "n_cells", "reach"), turn + 1
 
 
 def duplicate_classes(docs: DataFrame, how: Bands = Bands(), least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -248,11 +304,11 @@ def duplicate_classes(docs: DataFrame, how: Bands = Bands(), least: float = SIMI
     """
     signed = saved(signed_texts(docs, how))
     members = signed.select("doc_id", "node")
-    texts = saved(signed.groupBy("node").agg(F.first("buckets").alias("buckets"), F.min("doc_id").alias("first_id")))
-    asked = texts.select("node", F.explode("buckets").alias("bucket"))
+    texts = saved(signed.groupBy("node").agg(F.first("buckets").alias("buckets"), F.first("n_cells").alias("n_cells"), F.min("doc_id").alias("first_id")))
+    asked = texts.select("node", "n_cells", F.explode("buckets").alias("bucket"))
     shared = saved(asked.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
     left = saved(asked.join(shared, "bucket"))
-    nodes = saved(left.groupBy("node").agg(F.sum("size").alias("popular")))
+    nodes = saved(left.groupBy("node").agg(F.sum("size").alias("popular"), F.first("n_cells").alias("n_cells")))
     left = left.select("bucket", "node").join(nodes, "node")
     # The filter spares the shuffle most texts that meet no other; the join is what decides.
     near = possible(signed.select(F.col("node").alias("key"), "cells"), bloom_blocks(nodes.select(F.col("node").alias("key"))))

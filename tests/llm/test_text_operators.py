@@ -97,9 +97,7 @@ def shingles(text):
     return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter()
 
 
-def test_near_duplicates_equal_brute_force(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+def brute_classes(texts):
     sets = {i: shingles(t) for i, t in texts.items()}
     root = {i: i for i in texts}
 
@@ -115,8 +113,39 @@ def test_near_duplicates_equal_brute_force(spark):
             if texts[a] == texts[b] or both >= 0.8 * (sum(sets[a].values()) + sum(sets[b].values()) - both) > 0:
                 lo, hi = sorted((find(a), find(b)))
                 root[hi] = lo
+    return {i: find(i) for i in texts}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()}
+    assert got == brute_classes(texts)
+
+
+@pytest.mark.parametrize("worth", [1, 1000])
+def test_large_mixed_buckets_lose_no_link(spark, monkeypatch, worth):
+    """Texts that share a long passage, some of them near copies of each other; ``worth`` 1 leaves the stars after one round."""
+    rng = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(160)]
+    texts = {}
+    for i in range(60):
+        own = [f"u{i}x{j}" for j in range(int(rng.integers(15, 40)))]
+        texts[3 * i] = " ".join(passage + own)
+        if i % 2:
+            own[int(rng.integers(len(own)))] = f"edit{i}"
+            texts[3 * i + 1] = " ".join(passage + own)
+        if i % 5 == 0:
+            texts[3 * i + 2] = " ".join(passage + own + [f"more{i}x{j}" for j in range(30)])
+    want = brute_classes(texts)
+    assert 10 < len(set(want.values())) < len(want)
+    seen = []
+    rarest = near_dedup.rarest_elements
+    monkeypatch.setattr(near_dedup, "WORTH", worth)
+    monkeypatch.setattr(near_dedup, "rarest_elements", lambda *a: seen.append(1) or rarest(*a))
+    docs = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()}
-    assert got == {i: find(i) for i in texts}
+    assert got == want and (seen or worth > 1)
 
 
 def test_dart_signatures_estimate_weighted_jaccard():
