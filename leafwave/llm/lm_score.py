@@ -37,7 +37,7 @@ class Network:
     hashed: int = 64
     side: int = 2
     hidden: int = 16
-    mask: int = 16
+    mask: int = 8
     rounds: int = 2
     batch: int = 512
     rate: float = 0.1
