@@ -15,11 +15,10 @@ bucket are compared by stars, never by all pairs: each round picks centres in
 every bucket and compares them, exactly, with the bucket's texts of other
 classes. The first centre is the text that meets most others, the natural
 original of a group of copies. Found links merge classes, and buckets that hold
-one class are done. A bucket with up to ``SMALL`` texts in several classes is
-worked through until each pair in it has been compared or lies in one class.
-In a larger one, of texts that share much but are mostly no duplicates, centre
-follows centre until fewer than one in ``WORTH`` comparisons of a round finds a
-link. What is still mixed then goes another way, without loss: each of its
+one class are done. A bucket of up to ``SMALL`` texts is worked through until
+each pair in it has been compared or lies in one class. A larger one has
+``ALONE`` rounds of one centre. If it is still mixed then, of texts that share
+much but are mostly no duplicates, it goes another way, without loss: each of its
 texts is put under its rarest elements, as many as two texts of the wanted
 similarity cannot avoid having one of in common, and those groups are worked
 through to the end. Passages that many texts share are not rare, so texts that
@@ -47,7 +46,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leafwave.llm.common import kept_in_worker, only, saved
 from leafwave.llm.url_filter import bloom_blocks, possible
@@ -67,10 +66,10 @@ class Bands:
         return self.bands * self.rows
 
 
-#: Texts of several classes in a bucket of which all pairs are compared, at most 28.
+#: Texts in a bucket that is worked through as it is.
 SMALL = 8
-#: Comparisons a link may cost before larger buckets go by their rarest elements.
-WORTH = 1000
+#: Rounds of one centre a bucket, before larger buckets go by their rarest elements.
+ALONE = 2
 #: Words a worker remembers before it starts over.
 REMEMBERED = 300_000
 #: Texts whose darts are thrown together.
@@ -150,12 +149,12 @@ def dart_signatures(sets: list[np.ndarray], k: int) -> np.ndarray:
 
 
 def buckets(signatures: np.ndarray, how: Bands) -> np.ndarray:
-    """One 64-bit bucket per band."""
+    """One 63-bit bucket per band, the sign bit set."""
     parts = signatures.reshape(len(signatures), how.bands, how.rows)
     h = np.broadcast_to(np.arange(how.bands, dtype=np.uint64) * _M1, parts.shape[:2]).copy()
     for i in range(how.rows):
         h = mixed(h ^ parts[:, :, i])
-    return h
+    return h | np.uint64(1 << 63)
 
 
 def signed_texts(docs: DataFrame, how: Bands) -> DataFrame:
@@ -189,50 +188,52 @@ def signed_texts(docs: DataFrame, how: Bands) -> DataFrame:
     return texts.mapInPandas(sign, "doc_id long, node binary, buckets array<long>, cells array<int>, n_cells int")
 
 
-def merge_classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, label) for the connected classes of ``links`` (a, b), by contraction.
+def merge_classes(names: DataFrame, links: DataFrame) -> DataFrame:
+    """``names`` (node, label) after joining the classes that ``links`` (a, b), pairs of labels, connect.
 
     Each round, every end of a link takes the first of itself and its
-    neighbours in hash order, links follow to the new names, and those within
-    one name go. Rounds grow with the logarithm of a class's length.
+    neighbours in hash order, links follow to the new labels, and those within
+    one label go. Rounds grow with the logarithm of a class's length.
     """
-    names = nodes.select("node", F.col("node").alias("label"))
-    links = saved(links.select("a", "b"))
+    links = saved(links.distinct())
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy(F.col("a").alias("old")).agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("n"))).alias("m"))
         own = F.struct(F.xxhash64("old").alias("h"), F.col("old").alias("n"))
         step = saved(first.select("old", F.least(own, F.col("m"))["n"].alias("new")))
-        names = saved(
-            names.join(step, names["label"] == step["old"], "left").select("node", F.coalesce("new", "label").alias("label"))
-        )
+        moved = step.where("old <> new")
+        names = names.join(moved, names["label"] == moved["old"], "left").select("node", F.coalesce("new", "label").alias("label"))
         ends = links.join(step.select(F.col("old").alias("a"), F.col("new").alias("na")), "a")
         ends = ends.join(step.select(F.col("old").alias("b"), F.col("new").alias("nb")), "b").where("na <> nb")
         links = saved(ends.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-    return names
+    return saved(names)
 
 
 def similar(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) of texts whose exact weighted Jaccard similarity is at least ``least``."""
+    """The rows of ``pairs`` (a, b) of texts whose exact weighted Jaccard similarity is at least ``least``."""
     left = cells.select(F.col("node").alias("a"), F.col("cells").alias("ca"))
     right = cells.select(F.col("node").alias("b"), F.col("cells").alias("cb"))
     both = pairs.join(left, "a").join(right, "b")
     # common / (all - common) >= least, with common named once: it is dear
     enough = F.size(F.array_intersect("ca", "cb")) * F.lit(1 + least) >= F.lit(least) * (F.size("ca") + F.size("cb")) - F.lit(1e-9)
-    return both.where(enough).select("a", "b")
+    return both.where(enough).select(*pairs.columns)
 
 
 def bucket_links(left: DataFrame, nodes: DataFrame, cells: DataFrame, least: float) -> DataFrame:
     """(node, label): classes of the texts in ``left`` (bucket, node, popular, n_cells)."""
-    left = left.withColumn("reach", F.col("n_cells"))
     names = nodes.select("node", F.col("node").alias("label"))
-    names, links, rest = by_stars(left, nodes, names, None, cells, least, WORTH)
-    if rest is None:
-        return names
-    mixed_buckets = rest.join(names, "node").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    rest = rest.join(mixed_buckets.where("lo <> hi").select("bucket"), "bucket").select("node").distinct()
-    rare = rarest_elements(saved(rest.join(nodes, "node")), cells, least)
-    return by_stars(rare, nodes, names, links, cells, least)[0]
+    left = left.withColumn("reach", F.col("n_cells"))
+    for _ in range(ALONE):
+        left, names = compared(open_buckets(left, names, least), names, cells, least, 1)
+    open_texts = open_buckets(left, names, least)
+    rare = rarest_elements(saved(open_texts.where(F.col("n") > SMALL).select("node", "popular", "n_cells").distinct()), cells, least)
+    left, centres = open_texts.where(F.col("n") <= SMALL).select(*left.columns).unionByName(rare), 4
+    while True:
+        open_texts = open_buckets(left, names, least)
+        if open_texts.isEmpty():
+            return names
+        left, names = compared(open_texts, names, cells, least, centres)
+        centres *= 4
 
 
 def rarest_elements(texts: DataFrame, cells: DataFrame, least: float) -> DataFrame:
@@ -243,58 +244,52 @@ def rarest_elements(texts: DataFrame, cells: DataFrame, least: float) -> DataFra
     ``size - least * size + 1`` of each. ``reach`` counts the text's elements
     from this one on: no more can be in common with a text that shares none before.
     """
-    each = saved(cells.join(texts, "node").select("node", "popular", "n_cells", F.explode("cells").alias("bucket")))
-    common = each.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = each.join(common, "bucket").groupBy("node", "popular", "n_cells").agg(F.sort_array(F.collect_list(F.struct("n", "bucket"))).alias("own"))
+    each = saved(cells.join(texts.select("node"), "node").select("node", F.explode("cells").alias("cell")))
+    common = each.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    shared = each.join(common, "cell").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "cell"))).alias("own")).join(texts, "node")
     # Elements no other text has come first; the shared ones begin after them.
     shared = shared.withColumn("alone", F.col("n_cells") - F.size("own"))
     first = F.col("n_cells") - F.ceil(F.col("n_cells") * F.lit(least) - F.lit(1e-9)) + 1 - F.col("alone")
     shared = shared.withColumn("own", F.slice("own", F.lit(1), F.greatest(first, F.lit(0)).cast("int")))
-    placed = shared.select("node", "popular", "n_cells", "alone", F.posexplode("own.bucket").alias("at", "bucket"))
-    return saved(placed.select("bucket", "node", "popular", "n_cells", (F.col("n_cells") - F.col("alone") - F.col("at")).alias("reach")))
+    placed = shared.select("node", "popular", "n_cells", "alone", F.posexplode("own.cell").alias("at", "cell"))
+    # Not negative, as the buckets of the bands are.
+    bucket = F.col("cell").cast("long") + F.lit(2**31)
+    return saved(placed.select(bucket.alias("bucket"), "node", "popular", "n_cells", (F.col("n_cells") - F.col("alone") - F.col("at")).alias("reach")))
+
 
+def leads(least: float) -> Column:
+    """Whether a text can be the smaller one of a pair: it needs a ``reach`` of as many elements as equal sizes call for."""
+    return F.col("reach") * F.lit(1 + least) >= F.lit(2 * least) * F.col("n_cells") - F.lit(1e-9)
 
-def by_stars(
-    left: DataFrame, nodes: DataFrame, names: DataFrame, links: DataFrame | None, cells: DataFrame, least: float, worth: int | None = None
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Classes (node, label) after comparing the texts of every bucket, all links found, and what is left.
 
-    Without ``worth`` every bucket is worked through, large ones with twice as
-    many centres each round. With it large ones stop after a round with fewer
-    links than one in ``worth``; their (bucket, node) not compared with all the
-    others come back as the third table. The smaller text of a pair needs a
-    ``reach`` of as many elements as equal sizes call for, so only such texts
-    become centres, and a bucket without one is done.
+def open_buckets(left: DataFrame, names: DataFrame, least: float) -> DataFrame:
+    """``left`` with labels and the bucket's number ``n`` of texts, where it holds several classes and a text that leads."""
+    tagged = saved(left.join(names, "node"))
+    mixed_ones = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").cast("int").alias("n"), F.max(leads(least)).alias("led"))
+    return saved(tagged.join(mixed_ones.where("lo <> hi and led").select("bucket", "n"), "bucket"))
+
+
+def compared(texts: DataFrame, names: DataFrame, cells: DataFrame, least: float, centres: int) -> tuple[DataFrame, DataFrame]:
+    """What is left of the open buckets' ``texts``, and the classes, after a round of stars.
+
+    Every bucket has up to ``centres`` of them, in small buckets up to four at
+    least. A centre has been compared with all its bucket and leaves it.
     """
-    rest, turn = None, 0
-    leads = F.col("reach") * F.lit(1 + least) >= F.lit(2 * least) * F.col("n_cells") - F.lit(1e-9)
-    while True:
-        tagged = saved(left.join(names, "node"))
-        open_buckets = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"), F.max(leads).alias("led"))
-        open_buckets = saved(open_buckets.where((F.col("lo") != F.col("hi")) & F.col("led")).where((F.col("n") <= SMALL) | F.lit(rest is None)))
-        if open_buckets.isEmpty():
-            return names, links, rest
-        tagged = saved(tagged.join(open_buckets.select("bucket", "n"), "bucket"))
-        in_large = F.lit(1 if worth else 2**turn)
-        group = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("n") > SMALL, in_large).otherwise(F.lit(4)))
-        centres = tagged.where(leads).groupBy("bucket", group.alias("group")).agg(F.max(F.struct("popular", "node", "label", "n_cells", "reach")).alias("c"))
-        centres = centres.select("bucket", F.col("c.node").alias("centre"), F.col("c.label").alias("at"), F.col("c.n_cells").alias("size"), F.col("c.reach").alias("far"))
-        centres = saved(centres)
-        # common / (all - common) >= least, with as many in common as there can be
-        fits = F.least("reach", "far") * F.lit(1 + least) >= F.lit(least) * (F.col("n_cells") + F.col("size")) - F.lit(1e-9)
-        met = tagged.join(centres, "bucket").where("node <> centre and label <> at").where(fits)
-        pairs = met.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        pairs = saved(pairs.distinct())
-        found = saved(similar(pairs, cells, least))
-        n_found = found.count()
-        if n_found:
-            links = found if links is None else saved(links.unionByName(found))
-            names = merge_classes(nodes, links)
-        done = centres.select("bucket", F.col("centre").alias("node"))
-        left = tagged.join(done, ["bucket", "node"], "left_anti")
-        if worth and rest is None and n_found * worth < pairs.count():
-            rest = saved(left.where(F.col("n") > SMALL).select("bucket", "node"))
-        left, turn = left.select("bucket", "node", "popular", "n_cells", "reach"), turn + 1
+    group = F.pmod(F.xxhash64("node", "bucket"), F.when(F.col("n") > SMALL, F.lit(centres)).otherwise(F.lit(max(4, centres))))
+    best = F.max(F.struct("popular", "node", "label", "n_cells", "reach")).alias("c")
+    stars = texts.where(leads(least)).groupBy("bucket", group.alias("group")).agg(best)
+    stars = saved(stars.select("bucket", F.col("c.node").alias("centre"), F.col("c.label").alias("at"), F.col("c.n_cells").alias("size"), F.col("c.reach").alias("far")))
+    # common / (all - common) >= least, with as many in common as there can be
+    fits = F.least("reach", "far") * F.lit(1 + least) >= F.lit(least) * (F.col("n_cells") + F.col("size")) - F.lit(1e-9)
+    met = texts.join(stars, "bucket").where("node <> centre and label <> at").where(fits)
+    ends = F.when(F.col("node") < F.col("centre"), F.struct(F.col("node").alias("a"), F.col("centre").alias("b"), F.col("label").alias("la"), F.col("at").alias("lb")))
+    ends = ends.otherwise(F.struct(F.col("centre").alias("a"), F.col("node").alias("b"), F.col("at").alias("la"), F.col("label").alias("lb")))
+    pairs = saved(met.select(ends.alias("p")).select("p.*").distinct())
+    found = saved(similar(pairs, cells, least).select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")))
+    if not found.isEmpty():
+        names = merge_classes(names, found)
+    left = texts.join(stars.select("bucket", F.col("centre").alias("node")), ["bucket", "node"], "left_anti")
+    return left.select("bucket", "node", "popular", "n_cells", "reach"), names
 
 
 def duplicate_classes(docs: DataFrame, how: Bands = Bands(), least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
