@@ -1,12 +1,17 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from both sides.
 
-Words become ids: the most frequent words of the whole corpus have their own,
-all others share buckets by hash. The network sums one embedding per place in a
-window on either side, squashes the sum and predicts the word in the middle
-with a softmax. A document's score is the sum of the log-probabilities of all
-its words, each given its neighbours.
-
-Word counts cover every document. Training covers every document too: as in
+Words fall into classes: the most frequent words of the whole corpus are one
+each, all others are dealt to classes by hash. The network sums one embedding
+per place in a window on either side, squashes the sum and predicts the class of
+the word in the middle with a softmax; the corpus-wide share of the word within
+its class makes that a probability of the word. A document's score is the sum of
+the log-probabilities of all its words, each given its neighbours.
+
+Word counts cover every document, and the vocabulary is every word that occurs
+``least`` times, so it grows with the corpus; it stays a table, which is joined
+to the words of the texts and never collected. Rarer words share what their
+class gives to rare ones, evenly and with one share for words never seen; counts
+are smoothed by ``add``. Training covers every document too: as in
 masked language models, a random one in ``mask`` of each document's words is
 predicted. Each partition trains its own copy in numpy, starting from common
 parameters, and the copies are averaged by their number of words, for
@@ -20,15 +25,15 @@ ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from leafwave.llm.common import kept_in_worker, only, words
+from leafwave.llm.common import kept_in_worker, only, saved, words
 
 
 @dataclass(frozen=True)
@@ -41,6 +46,8 @@ class Network:
     rounds: int = 2
     batch: int = 512
     rate: float = 0.1
+    least: int = 2
+    add: float = 0.5
     seed: int = 11
 
     @property
@@ -76,12 +83,12 @@ class Network:
 
 
 class WordIds(dict):
-    def __init__(self, own: dict[str, int], net: Network):
+    def __init__(self, own: dict[bytes, int], net: Network):
         super().__init__(own)
         self.own, self.net = own, net
 
-    def __missing__(self, word: str) -> int:
-        at = self.net.frequent + xxhash.xxh32_intdigest(word) % self.net.hashed
+    def __missing__(self, word: bytes) -> int:
+        at = self.net.frequent + zlib.crc32(word) % self.net.hashed
         if len(word) <= 40:
             if len(self) >= 400_000:
                 self.clear()
@@ -90,14 +97,14 @@ class WordIds(dict):
         return at
 
 
-def remembered_ids(own: dict[str, int], net: Network) -> WordIds:
+def remembered_ids(own: dict[bytes, int], net: Network) -> WordIds:
     """The worker's ids for this vocabulary."""
-    return kept_in_worker(f"word ids {xxhash.xxh64_hexdigest(repr((net, own)))}", lambda: WordIds(own, net))
+    return kept_in_worker(f"word ids {zlib.crc32(repr((net, own)).encode())} {hash((net, frozenset(own.items())))}", lambda: WordIds(own, net))
 
 
 def padded_ids(text: str | None, ids: WordIds, net: Network) -> np.ndarray:
-    """A text's word ids with ``side`` edge marks around."""
-    found = text.lower().split() if isinstance(text, str) else []
+    """A lower-case text's classes with ``side`` edge marks around; bytes split at the same separators as ``words``."""
+    found = text.encode().split() if isinstance(text, str) else []
     out = np.full(len(found) + 2 * net.side, net.words, np.int32)
     out[net.side : net.side + len(found)] = np.fromiter(map(ids.__getitem__, found), np.int32, len(found))
     return out
@@ -177,15 +184,38 @@ def log_probabilities(x: np.ndarray, parts: list[np.ndarray], net: Network, bloc
     return total
 
 
-def frequent_words(docs: DataFrame, net: Network) -> dict[str, int]:
-    """Ids of the corpus's most frequent words, from counts over all documents."""
-    all_words = docs.select(F.explode(words(F.lower("text"))).alias("word")).where(F.char_length("word") <= 40)
-    counts = all_words.groupBy("word").agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(net.frequent).collect()
-    return {r["word"]: i for i, r in enumerate(top)}
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of every word of the lower-case texts."""
+    return saved(docs.select(F.explode(words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n")))
+
+
+def frequent_words(counts: DataFrame, net: Network) -> dict[bytes, int]:
+    """Classes of the corpus's most frequent words."""
+    top = counts.where(F.char_length("word") <= 40).orderBy(F.desc("n"), "word").limit(net.frequent).collect()
+    return {r["word"].encode(): i for i, r in enumerate(top)}
+
+
+def _hashed(word: Column, own: dict[bytes, int]) -> Column:
+    return ~word.isin([w.decode() for w in own]) if own else F.lit(True)
+
+
+def within_class(rows: DataFrame, counts: DataFrame, own: dict[bytes, int], net: Network) -> DataFrame:
+    """(row, within): the sum of log P(word | class) over a text's words; words with a class of their own add 0 and are left out."""
+    of = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(net.hashed)).cast("int")
+    usual, rare = F.col("n") >= net.least, F.col("n") < net.least
+    sizes = counts.where(_hashed(F.col("word"), own)).groupBy(of.alias("class")).agg(
+        F.sum("n").alias("all"), F.count_if(usual).alias("usual"),
+        F.coalesce(F.sum(F.when(rare, F.col("n"))), F.lit(0)).alias("rest"), F.count_if(rare).alias("rare"),
+    )
+    whole = F.col("all") + net.add * (F.col("usual") + 1)
+    shares = sizes.select("class", F.log(whole).alias("whole"), F.log((F.col("rest") + net.add) / (F.col("rare") + 1)).alias("of_rare"))
+    known = counts.where(usual).select("word", F.log(F.col("n") + net.add).alias("of_word")).hint("shuffle_hash")
+    each = rows.select("row", F.explode(words(F.col("text"))).alias("word")).where(_hashed(F.col("word"), own))
+    each = each.join(known, "word", "left").withColumn("class", of).join(F.broadcast(shares), "class", "left")
+    return each.groupBy("row").agg(F.sum(F.coalesce("of_word", "of_rare") - F.col("whole")).alias("within"))
 
 
-def train(docs: DataFrame, own: dict[str, int], net: Network) -> np.ndarray:
+def train(docs: DataFrame, own: dict[bytes, int], net: Network) -> np.ndarray:
     """Parameters averaged over the copies that the partitions train."""
     flat = net.start()
     for turn in range(net.rounds):
@@ -208,8 +238,10 @@ def train(docs: DataFrame, own: dict[str, int], net: Network) -> np.ndarray:
 
 def score(docs: DataFrame, net: Network = Network()) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_prob) of every document."""
-    docs = only(docs, doc_id="doc_id", text="text")
-    own = frequent_words(docs, net)
+    docs = only(docs, doc_id="doc_id", text="text").select("doc_id", F.lower("text").alias("text"))
+    docs = saved(docs.withColumn("row", F.monotonically_increasing_id()))
+    counts = word_counts(docs)
+    own = frequent_words(counts, net)
     shipped = docs.sparkSession.sparkContext.broadcast(train(docs, own, net))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,7 +251,9 @@ def score(docs: DataFrame, net: Network = Network()) -> DataFrame:
             for i, text in enumerate(batch["text"]):
                 x = padded_ids(text, ids, net)
                 n[i], total[i] = len(x) - 2 * net.side, log_probabilities(x, parts, net)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n_words": n, "log_likelihood": total})
+            yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_words": n, "of_classes": total})
 
-    scored = docs.mapInPandas(apply, "doc_id long, n_words long, log_likelihood double")
+    scored = docs.mapInPandas(apply, "row long, doc_id long, n_words long, of_classes double")
+    scored = scored.join(within_class(docs, counts, own, net), "row", "left")
+    scored = scored.select("doc_id", "n_words", (F.col("of_classes") + F.coalesce("within", F.lit(0.0))).alias("log_likelihood"))
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))

@@ -313,6 +313,49 @@ def test_lm_prefers_order_it_has_seen(spark):
     assert good.mean() > bad.mean() + 1 and (got.log_likelihood < 0).all()
 
 
+def lm_corpus():
+    """Texts of far more words than the network has classes, some of them rare, and one of gibberish."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{int(k)}" for k in np.minimum(rng.zipf(1.2, 150), 5000))) for i in range(300)]
+    return rows + [(1000, " ".join(f"zq{i}x" for i in range(150))), (1001, "Kein w1\u00a0w2 w1"), (1001, "Kein w1\u00a0w2 w1"), (None, "w7")]
+
+
+def test_lm_equals_brute_force_with_production_parameters(spark):
+    net, rows = lm_score.Network(), lm_corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = lm_score.score(docs).toPandas()
+    texts = [re.findall("[^\x20\x09-\x0d]+", t.lower()) for _, t in rows]
+    n = collections.Counter(w for t in texts for w in t)
+    own = {w: i for i, w in enumerate(sorted(n, key=lambda w: (-n[w], w))[: net.frequent])}
+    cls = {w: own.get(w, net.frequent + zlib.crc32(w.encode()) % net.hashed) for w in n}
+    members = collections.defaultdict(list)
+    for w in n:
+        members[cls[w]].append(w)
+    assert len(n) > 4 * net.words
+
+    def share(w):
+        rare = [v for v in members[cls[w]] if n[v] < net.least]
+        whole = sum(n[v] for v in members[cls[w]]) + net.add * (len(members[cls[w]]) - len(rare) + 1)
+        return 1.0 if w in own else (n[w] + net.add if n[w] >= net.least else (sum(n[v] for v in rare) + net.add) / (len(rare) + 1)) / whole
+
+    lower = docs.select("doc_id", F.lower("text").alias("text")).withColumn("row", F.monotonically_increasing_id())
+    embed, out, bias = net.split(lm_score.train(lower, {w.encode(): i for w, i in own.items()}, net))
+    want = []
+    for (i, _), t in zip(rows, texts):
+        x = [net.words] * net.side + [cls[w] for w in t] + [net.words] * net.side
+        total = 0.0
+        for at, w in enumerate(t):
+            h = np.tanh(sum(embed[k][x[at + net.side + p]] for k, p in enumerate(net.places)).astype(float))
+            z = h @ out + bias
+            total += z[cls[w]] - np.log(np.exp(z).sum()) + np.log(share(w))
+        want.append((-1 if i is None else i, len(t), total))
+    have = sorted((-1 if np.isnan(i) else int(i), k, x) for i, k, x in zip(got.doc_id.astype(float), got.n_words, got.log_likelihood))
+    assert [r[:2] for r in have] == [r[:2] for r in sorted(want)]
+    assert np.allclose([r[2] for r in have], [r[2] for r in sorted(want)], rtol=1e-3)
+    mean = got.set_index("doc_id").mean_log_prob
+    assert mean[1000.0] < mean[mean.index < 300].min() - 1  # gibberish, whose words fall into the same classes
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     clean = quality_rules.keep_clean(docs)
