@@ -11,12 +11,14 @@ Word counts cover every document, and the vocabulary is every word that occurs
 ``least`` times, so it grows with the corpus; it stays a table, which is joined
 to the words of the texts and never collected. Rarer words share what their
 class gives to rare ones, evenly and with one share for words never seen; counts
-are smoothed by ``add``. Training covers every document too: as in
-masked language models, a random one in ``mask`` of each document's words is
-predicted. Each partition trains its own copy in numpy, starting from common
-parameters, and the copies are averaged by their number of words, for
-``rounds`` rounds; so the work, and what is gathered, grow with the corpus,
-while the model keeps its size. Scoring is a second pass over all whole texts.
+are smoothed by ``add``. Training predicts every word of every
+document: each of the ``rounds`` rounds masks one place in ``mask``, and the
+places take turns. The texts are dealt by a hash to one copy of the network per
+``copy_words`` words and sorted there, so what is learnt does not depend on how
+the input is cut into files. Each copy trains in numpy, starting from common
+parameters, and the copies are averaged by their number of words; so the work,
+and what is gathered, grow with the corpus, while the network keeps its size.
+Scoring is a second pass over all whole texts.
 
 Null and texts without words have 0 words, a sum of 0 and no mean. Repeated
 rows score alike. An empty table gives an empty table; extra columns are
@@ -42,14 +44,19 @@ class Network:
     hashed: int = 64
     side: int = 2
     hidden: int = 16
-    mask: int = 8
+    mask: int = 2
     rounds: int = 2
     batch: int = 512
+    copy_words: int = 1 << 19
     rate: float = 0.1
     least: int = 2
     add: float = 0.5
     seed: int = 11
 
+    def __post_init__(self):
+        if self.rounds < self.mask:
+            raise ValueError("with fewer rounds than mask, places would never be predicted")
+
     @property
     def words(self) -> int:
         return self.frequent + self.hashed
@@ -117,6 +124,11 @@ def hidden_of(near: np.ndarray, embed: np.ndarray) -> np.ndarray:
     return np.tanh(h)
 
 
+def masked(n: int, turn: int, net: Network) -> np.ndarray:
+    """The places of a text of ``n`` words that a round predicts; every place has its turn in ``mask`` rounds."""
+    return np.arange((turn + n) % net.mask, n, net.mask)
+
+
 def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net: Network, turn: int) -> tuple[np.ndarray, int]:
     """Parameters after one pass over the masked words of ``texts``, and the number of words seen."""
     flat = flat.copy()
@@ -126,6 +138,7 @@ def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net:
     rng = np.random.default_rng((net.seed, turn))
     waiting: list[np.ndarray] = []
     held, seen = 0, 0
+    firsts = np.arange(2 * net.side)[:, None] * (net.words + 1)
 
     def step(block: np.ndarray) -> None:
         near, word = block[:-1], block[-1]
@@ -139,11 +152,10 @@ def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net:
         p /= n
         g_out, g_bias = h.T @ p, p.sum(axis=0)
         back = (p @ out.T) * (1 - h * h)
-        for i in range(len(near)):
-            g = np.zeros(embed[i].shape, np.float32)
-            np.add.at(g, near[i], back)
-            s_embed[i] += g * g
-            embed[i] -= net.rate * g / np.sqrt(s_embed[i])
+        at = ((near + firsts)[:, :, None] * net.hidden + np.arange(net.hidden)).ravel()
+        g = np.bincount(at, np.broadcast_to(back, (len(near), *back.shape)).ravel(), embed.size).astype(np.float32).reshape(embed.shape)
+        s_embed[:] += g * g
+        embed[:] -= net.rate * g / np.sqrt(s_embed)
         s_out[:] += g_out * g_out
         out[:] = np.clip(out - net.rate * g_out / np.sqrt(s_out), -4, 4)
         s_bias[:] += g_bias * g_bias
@@ -155,7 +167,7 @@ def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net:
         if not n:
             continue
         seen += n
-        at = np.flatnonzero(rng.integers(net.mask, size=n) == 0) + net.side
+        at = masked(n, turn, net) + net.side
         if len(at):
             waiting.append(np.stack([x[at + p] for p in net.places] + [x[at]]))
             held += len(at)
@@ -167,7 +179,10 @@ def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net:
             rest = rows.shape[1] % net.batch
             waiting, held = ([rows[:, -rest:]], rest) if rest else ([], 0)
     if held:
-        step(np.concatenate(waiting, axis=1))
+        rows = np.concatenate(waiting, axis=1)
+        rows = rows[:, rng.permutation(rows.shape[1])]
+        for i in range(0, rows.shape[1], net.batch):
+            step(rows[:, i : i + net.batch])
     return flat, seen
 
 
@@ -215,8 +230,11 @@ def within_class(rows: DataFrame, counts: DataFrame, own: dict[bytes, int], net:
     return each.groupBy("row").agg(F.sum(F.coalesce("of_word", "of_rare") - F.col("whole")).alias("within"))
 
 
-def train(docs: DataFrame, own: dict[bytes, int], net: Network) -> np.ndarray:
-    """Parameters averaged over the copies that the partitions train."""
+def train(docs: DataFrame, own: dict[bytes, int], net: Network, n_words: int) -> np.ndarray:
+    """Parameters averaged over the copies that the partitions train; ``n_words`` is the corpus's number of words."""
+    deal = F.xxhash64("doc_id", "text")
+    docs = docs.select("doc_id", "text", deal.alias("deal")).repartition(max(1, -(-n_words // net.copy_words)), "deal")
+    docs = docs.sortWithinPartitions("deal", "doc_id", "text")
     flat = net.start()
     for turn in range(net.rounds):
         shipped = docs.sparkSession.sparkContext.broadcast(flat)
@@ -242,7 +260,8 @@ def score(docs: DataFrame, net: Network = Network()) -> DataFrame:
     docs = saved(docs.withColumn("row", F.monotonically_increasing_id()))
     counts = word_counts(docs)
     own = frequent_words(counts, net)
-    shipped = docs.sparkSession.sparkContext.broadcast(train(docs, own, net))
+    n_words = counts.agg(F.sum("n")).first()[0] or 0
+    shipped = docs.sparkSession.sparkContext.broadcast(train(docs, own, net, n_words))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, parts = remembered_ids(own, net), net.split(shipped.value)

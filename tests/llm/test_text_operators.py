@@ -339,7 +339,7 @@ def test_lm_equals_brute_force_with_production_parameters(spark):
         return 1.0 if w in own else (n[w] + net.add if n[w] >= net.least else (sum(n[v] for v in rare) + net.add) / (len(rare) + 1)) / whole
 
     lower = docs.select("doc_id", F.lower("text").alias("text")).withColumn("row", F.monotonically_increasing_id())
-    embed, out, bias = net.split(lm_score.train(lower, {w.encode(): i for w, i in own.items()}, net))
+    embed, out, bias = net.split(lm_score.train(lower, {w.encode(): i for w, i in own.items()}, net, sum(n.values())))
     want = []
     for (i, _), t in zip(rows, texts):
         x = [net.words] * net.side + [cls[w] for w in t] + [net.words] * net.side
@@ -356,6 +356,24 @@ def test_lm_equals_brute_force_with_production_parameters(spark):
     assert mean[1000.0] < mean[mean.index < 300].min() - 1  # gibberish, whose words fall into the same classes
 
 
+def test_lm_training_predicts_every_word_whatever_the_layout(spark):
+    net = lm_score.Network()
+    for n in (1, 2, 7, 150):
+        assert sorted(np.concatenate([lm_score.masked(n, turn, net) for turn in range(net.rounds)])) == list(range(n))
+    docs = spark.createDataFrame(lm_corpus(), "doc_id long, text string")
+    one, many = ({r["doc_id"]: r["log_likelihood"] for r in lm_score.score(docs.repartition(k)).collect()} for k in (1, 13))
+    assert one.keys() == many.keys() and all(abs(one[i] - many[i]) < 1e-3 * abs(one[i]) for i in one)
+
+
+def test_lm_small_part_steps_per_batch():
+    net, ids = lm_score.Network(), lm_score.WordIds({b"a": 0, b"b": 1}, lm_score.Network())
+    flat = net.start()
+    for turn in range(net.rounds):
+        flat, seen = lm_score.train_part(iter(["a b " * 2000]), flat, ids, net, turn)
+    x = lm_score.padded_ids("a b " * 50, ids, net)
+    assert seen == 4000 and lm_score.log_probabilities(x, net.split(flat), net) / 100 > -2  # at the start -5.5, with one step a round -3.5
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     clean = quality_rules.keep_clean(docs)
