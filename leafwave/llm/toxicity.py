@@ -9,7 +9,10 @@ with what was seen in training and so most of its weight.
 
 Embeddings and softmax are trained together by Adam, in numpy, on a bounded
 sample of labelled rows: at most ``per_class`` of each class, the first by a
-hash of the id. One task trains; the model has a fixed size, a few megabytes,
+hash of the id. Where that keeps another share of one class than of the other,
+the bias is moved back by the log of the ratio, with both classes counted over
+all labelled rows, so that scores do not depend on where the bound starts to
+hold. One task trains; the model has a fixed size, a few megabytes,
 and is what travels to the scoring tasks. There a word's n-grams are summed
 once and remembered, so scoring is a pass over the words of every whole text.
 
@@ -176,20 +179,31 @@ class WordScores(dict):
         return bias + (total.real / total.imag if total.imag else 0.0)
 
 
+def prior_shift(n1: int, n0: int, sampled1: int, sampled0: int) -> float:
+    """What moves a logit learnt from a sample of each class to the classes' shares among all labelled rows."""
+    return float(np.log((n1 / n0) / (sampled1 / sampled0))) if min(n1, n0, sampled1, sampled0) > 0 else 0.0
+
+
 def fit(docs: DataFrame, labels: DataFrame, how: Subwords = Subwords()) -> tuple[np.ndarray, float]:
     """Weights and bias from a bounded sample of the labelled rows that are not held out."""
     marks = only(labels, doc_id="doc_id", toxic="toxic").where("doc_id is not null and toxic in (0, 1)")
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(how.seed))
+    texts = only(docs, doc_id="doc_id", text="text").where("text is not null")
+    counted = texts.select("doc_id").join(marks, "doc_id").agg(
+        *[F.count_distinct(F.when(F.col("toxic") == k, F.col("doc_id"))).alias(f"n{k}") for k in (0, 1)]
+    ).first()
     sample = marks.where("toxic = 1").orderBy(order, "doc_id").limit(how.per_class)
     sample = sample.unionByName(marks.where("toxic = 0").orderBy(order, "doc_id").limit(how.per_class))
     # At most 2 * per_class short rows.
-    rows = only(docs, doc_id="doc_id", text="text").where("text is not null").join(F.broadcast(sample), "doc_id")
+    rows = texts.join(F.broadcast(sample), "doc_id")
     rows = rows.dropDuplicates(["doc_id"]).select(F.lit(0).alias("one"), "doc_id", "text", "toxic")
 
     def learn(sampled: pd.DataFrame) -> pd.DataFrame:
         sampled = sampled.sort_values("doc_id")
-        weights, bias = train(list(sampled["text"]), sampled["toxic"].to_numpy(np.int64), how)
+        toxic = sampled["toxic"].to_numpy(np.int64)
+        weights, bias = train(list(sampled["text"]), toxic, how)
+        bias += prior_shift(counted["n1"], counted["n0"], int(toxic.sum()), int((toxic == 0).sum()))
         return pd.DataFrame({"weights": [weights.astype("<f4").tobytes()], "bias": [bias]})
 
     model = rows.groupBy("one").applyInPandas(learn, "weights binary, bias double").collect()

@@ -374,6 +374,13 @@ def test_lm_small_part_steps_per_batch():
     assert seen == 4000 and lm_score.log_probabilities(x, net.split(flat), net) / 100 > -2  # at the start -5.5, with one step a round -3.5
 
 
+def test_toxicity_keeps_the_prior_where_the_bound_holds(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("the same plain words in every text").alias("text"))
+    marks = docs.select("doc_id", (F.col("doc_id") % 20 == 0).cast("int").alias("toxic"))
+    got = toxicity.score(docs, marks, toxicity.Subwords(buckets=1 << 12, per_class=100, epochs=60)).toPandas()
+    assert abs(got.score.mean() - 0.05) < 0.03 and not got.predicted.any()
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     clean = quality_rules.keep_clean(docs)
