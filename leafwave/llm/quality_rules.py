@@ -3,7 +3,7 @@
 A line fails when it has a word and one of these holds:
 
 * punctuation: marks that prose hardly uses, and doubled exclamation or question
-  marks (a pair counts once), make up more than ``max_marks`` of its characters that are not spaces,
+  marks (both of a pair count), make up more than ``max_marks`` of its characters that are not spaces,
   or it ends without a closing mark and has fewer than ``min_open_words`` words;
 * navigation: it has at least two menu separators and one for every
   ``words_per_separator`` words or fewer;
@@ -81,7 +81,8 @@ def line_fails(line: Column, r: Rules) -> Column:
     """Whether one line breaks a rule; false for a line without a word. Cheap tests come first."""
     solid = F.char_length(line) - F.regexp_count(line, F.lit(SPACE))
     n = F.regexp_count(line, F.lit(WORD))
-    marks = F.regexp_count(line, F.lit(f"{_any_of(ODD_MARKS)}|!!|\\?\\?"))
+    doubled = F.char_length(line) - F.char_length(F.replace(F.replace(line, F.lit("!!"), F.lit("")), F.lit("??"), F.lit("")))
+    marks = F.regexp_count(line, F.lit(_any_of(ODD_MARKS))) + doubled
     closed = F.lit(CLOSING_MARKS).contains(F.right(F.rtrim(line, F.lit(SPACES)), F.lit(1)))
     separators = F.regexp_count(line, F.lit(_any_of(SEPARATORS)))
     furniture = reduce(lambda a, b: a | b, [F.lower(line).contains(phrase) for phrase in BOILERPLATE])

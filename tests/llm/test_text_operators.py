@@ -381,6 +381,13 @@ def test_toxicity_keeps_the_prior_where_the_bound_holds(spark):
     assert abs(got.score.mean() - 0.05) < 0.03 and not got.predicted.any()
 
 
+def test_both_of_doubled_marks_count(spark):
+    lines = {"Buy this thing now!!": True, "Buy this thing now!": False, "Is this the very thing??": True, "Is it ?!!? now, after all of this.": True,
+             "Such a line is long enough to shout now!!": False}
+    df = spark.createDataFrame([(x,) for x in lines], "line string").select("line", quality_rules.line_fails(F.col("line"), quality_rules.Rules()).alias("f"))
+    assert {r["line"]: r["f"] for r in df.collect()} == lines
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     clean = quality_rules.keep_clean(docs)
