@@ -10,15 +10,17 @@ kind       valid when                           permuted
 =========  ===================================  ======================================
 email      address form, at most 64 + 254       letters and digits within their
            characters                           alphabets, all but the last label
-iban       mod-97 check holds                   account letters and digits; check
-                                                digits made anew
+iban       as long as its country has it,       account letters and digits; check
+           mod-97 check holds                   digits made anew
 secret     32 to 64 hex digits of one case,     hex digits and hex letters
            with a digit and a letter
 date       a day of the calendar, written       the day within its 400-year cycle
-           y-m-d, d.m.y or d/m/y
+           y-m-d, d.m.y, d/m/y, or m/d/y
+           where d/m/y is no day
 ip         four octets up to 255                the 32-bit value as two halves
 phone      country code and area code in        digits after the country code
-           brackets, or three groups
+           brackets, or three groups; or +,
+           country code and 7 to 15 digits
 ssn        no zero group, area below 900, not   all nine digits
            666
 card       13 to 19 digits, alone or in card    all digits but the last; check digit
@@ -41,11 +43,37 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # -- fixed values: candidate forms -------------------------------------------
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,6}"
-IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+#: Lengths of the IBANs of each country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    tail = f" ?[A-Z0-9]{{{length % 4}}}" if length % 4 else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{length // 4 - 1}}}{tail}"
+
+
+#: Cut to the country's length if that ends a word; other countries and lengths by form.
+IBAN = (
+    r"(?<![\p{L}\p{N}])(?=[A-Z]{2}[0-9]{2})(?:(?:"
+    + "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items())
+    + r")(?![\p{L}\p{N}])|[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}]))"
+)
 SECRET = r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![\p{L}\p{N}])"
 DATE = r"(?<![\p{L}\p{N}.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![\p{L}\p{N}])"
 IP = r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
 PHONE = r"(?<![\p{L}\p{N}])(?:\+[0-9]{1,3}[ -]?)?(?:\([0-9]{2,4}\)[ -]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\p{L}\p{N}])"
+#: E.164, or any groups after a plus; the last group has two digits or more.
+PHONE += (
+    r"|(?<![\p{L}\p{N}+])\+[1-9](?:[0-9]{6,14}(?![\p{L}\p{N}])"
+    r"|(?:[ ./-]?\(?[0-9]\)?){6,14}(?<=[0-9]{2})(?![\p{L}\p{N}]))"
+)
+#: Country calling codes of one and two digits; all others have three.
+CALLING = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 SSN = r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])"
 CARD = (
     r"(?<![\p{L}\p{N}])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5})"
@@ -170,19 +198,22 @@ def iban_rest(iban: Column) -> Column:
     return F.aggregate(F.split(moved, ""), F.lit(0), lambda rest, c: add(rest, c).cast("int"))
 
 
-def _date_parts(m: Column) -> tuple[Column, Column, Column, Column]:
+def _date_parts(m: Column) -> tuple[Column, Column, Column, Column, Column]:
+    """Whether y-m-d, whether m/d/y, and the year, month and day."""
     iso = F.substring(m, F.lit(5), F.lit(1)) == "-"
     part = lambda at, n: F.substring(m, F.lit(at), F.lit(n)).cast("int")
     year = F.when(iso, part(1, 4)).otherwise(part(7, 4))
-    month = F.when(iso, part(6, 2)).otherwise(part(4, 2))
-    day = F.when(iso, part(9, 2)).otherwise(part(1, 2))
-    return iso, year, month, day
+    # With a month up to 12, d/m/y that is no day is none as m/d/y either.
+    turned = (F.substring(m, F.lit(3), F.lit(1)) == "/") & (part(4, 2) > 12)
+    month = F.when(iso, part(6, 2)).when(turned, part(1, 2)).otherwise(part(4, 2))
+    day = F.when(iso, part(9, 2)).when(turned, part(4, 2)).otherwise(part(1, 2))
+    return iso, turned, year, month, day
 
 
 def _kind(m: Column) -> Column:
     """The kind whose form and check the candidate meets; null if none."""
     whole = lambda p: m.rlike(f"^(?:{p})$")
-    iso, year, month, day = _date_parts(m)
+    iso, turned, year, month, day = _date_parts(m)
     leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
     longest = F.when(month == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28))).when(month.isin(4, 6, 9, 11), F.lit(30)).otherwise(F.lit(31))
     octets = F.forall(F.split(m, "\\."), lambda o: o.cast("int") <= 255)
@@ -216,7 +247,7 @@ def _pseudonym(kind: Column, m: Column, key: str) -> Column:
             _fill(F.substring(m, F.lit(5), F.lit(60)), "[A-Z0-9]", a),
         ),
     )
-    iso, year, month, day = _date_parts(m)
+    iso, turned, year, month, day = _date_parts(m)
     days = F.datediff(F.make_date(year, month, day), F.lit("1800-01-01").cast("date")).cast("long")
     cycle = DATE_HALVES[0] * DATE_HALVES[1]
     date = _let(
@@ -233,7 +264,7 @@ def _pseudonym(kind: Column, m: Column, key: str) -> Column:
     )
     y, mo, dd = (F.lpad(f(date).cast("string"), n, "0") for f, n in ((F.year, 4), (F.month, 2), (F.day, 2)))
     sep = F.substring(m, F.lit(3), F.lit(1))
-    date_text = F.when(iso, F.concat_ws("-", y, mo, dd)).otherwise(F.concat_ws("", dd, sep, mo, sep, y))
+    date_text = F.when(iso, F.concat_ws("-", y, mo, dd)).when(turned, F.concat_ws("", mo, sep, dd, sep, y)).otherwise(F.concat_ws("", dd, sep, mo, sep, y))
     octet = lambda i: F.get(F.split(m, "\\."), F.lit(i)).cast("long")
     ip = _let(
         permute_pair(octet(0) * 256 + octet(1), octet(2) * 256 + octet(3), IP_HALVES, salt),
@@ -241,7 +272,7 @@ def _pseudonym(kind: Column, m: Column, key: str) -> Column:
             ".", *[x.cast("string") for h in ("a", "b") for x in (F.floor(p[h] / 256), F.pmod(p[h], F.lit(256)))]
         ),
     )
-    country = F.regexp_extract(m, r"^\+[0-9]+", 0)
+    country = F.regexp_extract(m, CALLING, 0)
     local = F.substring(m, F.char_length(country) + 1, F.lit(60))
     phone = F.concat(country, _fill(local, "[0-9]", permute_text(digits_of(local), salt, (DIGITS,))))
     ssn = _fill(m, "[0-9]", permute_text(digits_of(m), salt, (DIGITS,)))

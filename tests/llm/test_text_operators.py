@@ -388,6 +388,25 @@ def test_both_of_doubled_marks_count(spark):
     assert {r["line"]: r["f"] for r in df.collect()} == lines
 
 
+def test_pii_iban_lengths_phone_groups_and_american_dates(spark):
+    cases = {
+        "ES91 2100 0418 4502 0005 1332 BIC": "iban", "BE68 5390 0754 7034 EUR": "iban", "AT61 1904 3002 3457 3201 2024": "iban", "NO93 8601 1117 947": "iban",
+        "GB29NWBK60161331926819": "iban", "+14155550123": "phone", "+49 30 1234567": "phone", "+44 20 7946 0958": "phone", "+33 1 42 68 53 00": "phone",
+        "+44 (0)20 7946 0958": "phone", "12/31/2020": "date", "31/12/2020": "date",
+    }
+    for c in (*cases, "+1415", "13/31/2020", "+1415555012345678"):
+        cases.setdefault(c, None)
+    got = pii.pseudonymise(spark.createDataFrame([(c, f"see {c}, or") for c in cases], "value string, text string"), "k").collect()
+    for r in got:
+        assert [x["kind"] for x in r["pii"]] == ([cases[r["value"]]] if cases[r["value"]] else []), r
+        assert (r["value"] in r["text"]) == (cases[r["value"]] is None) and len(r["text"]) == len(f"see {r['value']}, or")
+    text = {r["value"]: r["text"][4:-4] for r in got}
+    assert text["ES91 2100 0418 4502 0005 1332 BIC"].endswith(" BIC") and text["AT61 1904 3002 3457 3201 2024"].endswith(" 2024")
+    assert text["+14155550123"][:2] == "+1" and text["+49 30 1234567"][:4] == "+49 "
+    month, day, _ = map(int, text["12/31/2020"].split("/"))
+    assert 1 <= month <= 12 and 1 <= day <= 31
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     clean = quality_rules.keep_clean(docs)
