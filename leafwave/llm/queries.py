@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leafwave.llm import lm_score, mixing, near_dedup, packing, pii, quality_model, quality_rules, topk_search, toxicity, url_filter
+from leafwave.llm import bpe, lm_score, mixing, near_dedup, packing, pii, quality_model, quality_rules, topk_search, toxicity, url_filter
 from leafwave.llm.common import read
 from leafwave.session import prepare
 
@@ -235,3 +235,17 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_score")
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(read(spark, sf_dir, "documents"))
+
+
+# -- 11 -----------------------------------------------------------------------
+
+
+@query("op11_byte_bpe")
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
