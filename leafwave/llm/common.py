@@ -60,3 +60,17 @@ def kept_in_worker(name: str, make: Callable[[], object]):
     if not hasattr(held, name):
         setattr(held, name, make())
     return getattr(held, name)
+
+
+def saved_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """Like ``saved``, with the folder, for steps that ``remove`` it once nothing reads it any more."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/leafwave-llm/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``saved_at`` wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

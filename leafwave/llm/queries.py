@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leafwave.llm import bpe, lm_score, mixing, near_dedup, packing, pii, quality_model, quality_rules, topk_search, toxicity, url_filter
+from leafwave.llm import bpe, clustering, filter_audit, lm_score, mixing, near_dedup, packing, pii, quality_model, quality_rules, topk_search, toxicity, url_filter
 from leafwave.llm.common import read
 from leafwave.session import prepare
 
@@ -249,3 +249,87 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+# -- 12 -----------------------------------------------------------------------
+
+_LETTERS = "(VALUES " + ", ".join(f"('{x}')" for x in filter_audit.FILTERS) + ")"
+AUDIT_SQL = f"""
+WITH parts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+failing AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < {filter_audit.MIN_WORDS} THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {filter_audit.MAX_CAPITAL_PERCENT} * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '{filter_audit.MARKS}') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM parts),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counted AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM {_LETTERS} a(x), {_LETTERS} b(x), {_LETTERS} c(x), {_LETTERS} d(x), {_LETTERS} e(x)
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, CAST(k AS INT) AS step, substr(filter_order, k, 1) AS own, substr(filter_order, 1, k - 1) AS before
+  FROM orders, range(1, 6) r(k)),
+met AS (
+  SELECT *, length(translate(fails, before, '')) = length(fails) AS reached, contains(fails, own) AS caught FROM steps, counted),
+summed AS (
+  SELECT part, filter_order, step, own,
+    CAST(coalesce(sum(n) FILTER (reached AND NOT caught), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (reached AND caught), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (NOT reached AND caught), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (fails = own), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (reached AND caught), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (reached AND caught), 0) AS BIGINT) AS toxic_lost
+  FROM met GROUP BY part, filter_order, step, own)
+SELECT * EXCLUDE (own), CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM summed"""
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+# -- 13 -----------------------------------------------------------------------
+
+CLUSTERS, DIMS, ROUNDS, START = 8, 64, 10, "3:"
+
+
+def _rounds_sql() -> str:
+    """Each round as two tables: every vector's nearest centroid, and the centroids after it."""
+    gap = "CAST(list_sum(list_transform(list_zip(v.v, c.m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    out = []
+    for r in range(ROUNDS + 1):
+        out.append(f"a{r} AS MATERIALIZED (SELECT row, min({{'d': {gap}, 'c': c.c}}) AS best FROM v, c{r} c GROUP BY row)")
+        if r < ROUNDS:
+            out.append(
+                f"s{r} AS MATERIALIZED (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT a.best.c AS c, unnest(v.v) AS x, unnest(range({DIMS})) AS i FROM v JOIN a{r} a USING (row)) GROUP BY c, i), "
+                f"c{r + 1} AS MATERIALIZED (SELECT o.c, coalesce(g.m, o.m) AS m FROM c{r} o LEFT JOIN "
+                f"(SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{r} GROUP BY c) g USING (c))"
+            )
+    return ", ".join(out)
+
+
+KMEANS_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024.0::DOUBLE * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(nth - 1 AS INT) AS c, v AS m FROM (SELECT v, row_number() OVER (ORDER BY sha256('{START}' || vec_id)) AS nth FROM v WHERE vec_id IS NOT NULL)
+  WHERE nth <= {CLUSTERS}),
+{_rounds_sql()}
+SELECT vec_id, best.c AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.m, ',')) AS centroid_sha256
+FROM v JOIN a{ROUNDS} USING (row) JOIN c{ROUNDS} c ON c.c = best.c"""
+
+
+@query("op13_centroid_clusters", KMEANS_SQL)
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clustering.cluster(read(spark, sf_dir, "embeddings"), CLUSTERS, DIMS, ROUNDS, START)
+    hashed = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", hashed.alias("centroid_sha256"))
