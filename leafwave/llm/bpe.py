@@ -5,9 +5,10 @@ block, and within a block every pre-token becomes the number of its word, so a
 document is a short list of numbers by position. The words of all blocks are
 then shuffled by word; each distinct word of the corpus meets its other
 mentions in one place and is encoded once. Its ids go back to the blocks that
-hold it, are exploded with their positions and joined with the token-byte
-table, which decodes them. Last, each document is put together by position:
-its ids, and the bytes the ids stand for.
+hold it, many words of a block in one row. There the different ids of each such
+row are exploded and joined with the token-byte table, which decodes them. Last,
+each document is put together by position: its ids, and the bytes the ids stand
+for.
 
 Documents move once, as compressed numbers, and words move once per block
 instead of once per mention, so a word as common as a space costs one row per
@@ -34,6 +35,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from leafwave.llm.common import kept_in_worker, only
 
 
+#: Words a task holds, by block, before it packs them.
+HELD = 400_000
+
+
 @dataclass(frozen=True)
 class Blocks:
     text_bytes: int = 64 << 20
@@ -79,8 +85,8 @@ def blocks(batches: Iterator[pa.RecordBatch], pattern: str, bounds: Blocks) -> I
     block, size, numbers = None, 0, defaultdict()
     numbers.default_factory = numbers.__len__  # a new word gets the next number
     for batch in batches:
-        for doc_id, text, part in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2))):
-            text, block = text or "", part << 32 if block is None else block
+        for doc_id, text, part in zip(*batch.columns):  # one text at a time, not the batch once more
+            text, block = text.as_py() or "", part.as_py() << 32 if block is None else block
             if size and (size + len(text) > bounds.text_bytes or len(numbers) >= bounds.words):
                 block, size = block + 1, 0
                 numbers = defaultdict()
@@ -111,26 +117,22 @@ def block_words(docs: DataFrame, pattern: str, bounds: Blocks) -> DataFrame:
 
 
 def block_texts(docs: DataFrame, pattern: str, bounds: Blocks) -> DataFrame:
-    """One row per document: block, number (its turn in the block), doc_id, its words' numbers, a checksum of its text."""
+    """One row per document: block, doc_id, its words' numbers, a checksum of its text."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     doc_id = docs.schema["doc_id"]
     id_type = to_arrow_type(doc_id.dataType)
-    schema = f"block long, number int, doc_id {doc_id.dataType.simpleString()}, words binary, checksum long"
+    schema = f"block long, doc_id {doc_id.dataType.simpleString()}, words binary, checksum long"
 
     def run(batches):
         rows: list[tuple] = []
-        block, turn = None, 0
 
         def batch():
-            columns = list(zip(*rows))
-            types = (pa.int64(), pa.int32(), id_type, pa.binary(), pa.int64())
-            columns[2] = [x.as_py() for x in columns[2]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["block", "number", "doc_id", "words", "checksum"])
-
-        for at, doc, text, numbers, _ in blocks(batches, pattern, bounds):
-            block, turn = at, turn + 1 if at == block else 0
-            rows.append((at, turn, doc, pack(numbers), zlib.crc32(text.encode())))
+            types = (pa.int64(), id_type, pa.binary(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["block", "doc_id", "words", "checksum"])
+
+        for block, doc, text, numbers, _ in blocks(batches, pattern, bounds):
+            rows.append((block, doc.as_py(), pack(numbers), zlib.crc32(text.encode())))
             if len(rows) == 500:
                 yield batch()
                 rows.clear()
@@ -144,7 +146,11 @@ def block_texts(docs: DataFrame, pattern: str, bounds: Blocks) -> DataFrame:
 
 
 def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The ids of each row's word. Rows come sorted by word: each distinct word is encoded once."""
+    """The ids of each row's word, rows of one block packed together: block, words (steps between numbers, then how many
+    ids each has), ids.
+
+    Rows come sorted by word, so each distinct word is encoded once.
+    """
 
     def run(batches):
         def make():
@@ -152,18 +158,32 @@ def encode_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
 
             return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks(path), special_tokens={})
 
+        def packed():
+            for block, rows in held.items():
+                rows.sort()
+                steps = np.diff([number for number, _ in rows], prepend=0).tolist()
+                yield block, pack(steps + [len(ids) for _, ids in rows]), [i for _, ids in rows for i in ids]
+
+        def leave():
+            for rows in iter(lambda it=packed(): list(islice(it, 200)), []):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.list_(pa.int32())))], ["block", "words", "ids"])
+
         encoding = kept_in_worker(f"bpe:{path}:{pattern}", make)
-        last: tuple[str | None, list[int]] = (None, [])
+        word, ids, held, size = None, [], defaultdict(list), 0
         for batch in batches:
-            ids = []
-            for word in batch.column(2).to_pylist():
-                if word != last[0]:
-                    last = word, encoding.encode_ordinary(word)
-                ids.append(last[1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["block", "number", "ids"])
+            for block, number, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if text != word:
+                    word, ids = text, encoding.encode_ordinary(text)
+                held[block].append((number, ids))
+            size += len(batch)
+            if size >= HELD:
+                yield from leave()
+                held.clear()
+                size = 0
+        yield from leave()
 
     by_word = words.repartition("word").sortWithinPartitions("word")
-    return by_word.mapInArrow(run, "block long, number int, ids array<int>")
+    return by_word.mapInArrow(run, "block long, words binary, ids array<int>")
 
 
 # -- putting together -------------------------------------------------------------
@@ -173,23 +193,29 @@ class BlockWords:
     """Ids of a block's words, laid end to end as they come in, and the bytes of every id met."""
 
     def __init__(self, block: int):
-        self.block, self.parts, self.bytes = block, [], {}
-        self.ids = self.start = self.length = None
-
-    def add(self, numbers: np.ndarray, ids: np.ndarray, values: pa.Array) -> None:
-        self.parts.append((numbers, ids))
-        fresh, at = np.unique(ids, return_index=True)
-        for i, k in zip(fresh.tolist(), at.tolist()):
-            if i not in self.bytes:
-                self.bytes[i] = values[k].as_py()
+        self.block, self.bytes = block, {}
+        self.numbers, self.lengths, self.parts = [], [], []
+        self.ids = None
+
+    def add(self, packed: bytes, ids: np.ndarray) -> None:
+        steps, lengths = unpack(packed).astype(np.int64).reshape(2, -1)
+        self.numbers.append(np.cumsum(steps))
+        self.lengths.append(lengths)
+        self.parts.append(ids)
+
+    def lay_out(self) -> None:
+        none = [np.zeros(0, np.int64)]
+        numbers, lengths = np.concatenate(self.numbers + none), np.concatenate(self.lengths + none)
+        self.ids = np.concatenate(self.parts + none).astype(np.int32)
+        size = numbers.max(initial=-1) + 1
+        self.start, self.length = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        self.start[numbers], self.length[numbers] = np.cumsum(lengths) - lengths, lengths
+        self.numbers = self.lengths = self.parts = None
 
     def text(self, packed: bytes) -> tuple[np.ndarray, bytes]:
         """Ids and bytes of a document, by the positions of its words."""
         if self.ids is None:
-            numbers, self.ids = (np.concatenate([p[i] for p in self.parts] or [np.zeros(0, np.int32)]) for i in (0, 1))
-            self.length = np.bincount(numbers)  # numbers come in order
-            self.start = np.cumsum(self.length) - self.length
-            self.parts = []
+            self.lay_out()
         words = unpack(packed)
         if not len(words):
             return np.zeros(0, np.int32), b""
@@ -201,11 +227,16 @@ class BlockWords:
         return ids, b"".join(map(self.bytes.__getitem__, ids.tolist()))
 
 
+TOKEN, WORDS, TEXT = range(3)
+
+
 def put_together(rows: DataFrame, id_type: pa.DataType, schema: str) -> DataFrame:
+    """Documents from rows that come sorted by (block, kind): token bytes, packed words, texts."""
+
     def run(batches):
         held = BlockWords(-1)
         for batch in batches:
-            block, kind, number = (batch.column(i).to_numpy() for i in range(3))
+            block, kind = (batch.column(i).to_numpy() for i in range(2))
             edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(kind) != 0)) + 1
             for lo, hi in zip([0, *edges], [*edges, len(block)]):
                 if lo == hi:
@@ -213,13 +244,17 @@ def put_together(rows: DataFrame, id_type: pa.DataType, schema: str) -> DataFram
                 if held.block != block[lo]:
                     held = BlockWords(block[lo])
                 part = batch.slice(lo, hi - lo)
-                if not kind[lo]:
-                    held.add(number[lo:hi], part.column(4).to_numpy(), part.column(5))
+                if kind[lo] == TOKEN:
+                    held.bytes.update(zip(part.column(2).to_pylist(), part.column(3).to_pylist()))
+                    continue
+                if kind[lo] == WORDS:
+                    for packed, ids in zip(part.column(4), part.column(5)):
+                        held.add(packed.as_py(), ids.values.to_numpy())
                     continue
                 for k in range(0, hi - lo, 200):  # bounds a batch that leaves
                     some = part.slice(k, 200)
-                    out = [held.text(p) for p in some.column(7).to_pylist()]
-                    if any(zlib.crc32(b) != c for (_, b), c in zip(out, some.column(8).to_pylist())):
+                    out = [held.text(p.as_py()) for p in some.column(4)]
+                    if any(zlib.crc32(b) != c for (_, b), c in zip(out, some.column(7).to_pylist())):
                         raise RuntimeError("docs changed between two readings; write it before encoding")
                     yield pa.RecordBatch.from_arrays(
                         [some.column(6).cast(id_type), pa.array([i for i, _ in out], pa.list_(pa.int32())), pa.array([b for _, b in out], pa.binary())],
@@ -238,10 +273,16 @@ def encode(docs: DataFrame, path: str, pattern: str, bounds: Blocks = Blocks())
     words = encode_words(block_words(docs, pattern, bounds), path, pattern)
     texts = block_texts(docs, pattern, bounds)
     by_block = words.unionByName(texts, allowMissingColumns=True).repartition("block")
-    tokens = F.broadcast(token_bytes(docs.sparkSession, path).withColumnRenamed("id", "token"))
-    exploded = by_block.select("block", F.col("words").isNotNull().cast("int").alias("kind"), "number", "doc_id", "words", "checksum", F.posexplode_outer("ids").alias("place", "id"))
-    decoded = exploded.join(tokens, exploded["id"] == tokens["token"], "left")
-    rows = decoded.select("block", "kind", "number", "place", "id", "bytes", "doc_id", "words", "checksum").sortWithinPartitions("block", "kind", "number", "place")
+    # Each packed row once as it is, under no token, and once for each of its different ids.
+    tokens = F.broadcast(token_bytes(docs.sparkSession, path).withColumnRenamed("id", "known"))
+    wanted = F.explode(F.concat(F.array(F.lit(None).cast("int")), F.coalesce(F.array_distinct("ids"), F.array().cast("array<int>"))))
+    whole = F.col("token").isNull()
+    each = by_block.select("*", wanted.alias("token")).select(
+        "block", F.when(~whole, TOKEN).when(F.col("ids").isNotNull(), WORDS).otherwise(TEXT).alias("kind"), "token",
+        *[F.when(whole, F.col(c)).alias(c) for c in ("words", "ids", "doc_id", "checksum")],
+    )
+    decoded = each.join(tokens, F.col("token") == F.col("known"), "left")
+    rows = decoded.select("block", "kind", "token", "bytes", "words", "ids", "doc_id", "checksum").sortWithinPartitions("block", "kind")
     return put_together(rows, to_arrow_type(kind), f"doc_id {kind.simpleString()}, ids array<int>, decoded binary")
 
 
