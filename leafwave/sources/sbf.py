@@ -1,143 +1,122 @@
 """Septentrio binary files.
 
-A small Python step walks the blocks of a file and emits the raw integers;
-everything that gives them meaning (satellite ids, signals, scaling, time) is
-Column algebra on the rows. Files are the unit of parallelism: a receiver
-closes one every quarter hour or day.
+``sbf_source`` reads byte ranges of files as tagged rows of raw integers; what
+gives them meaning (leap seconds, satellite ids, signals, scaling, time, which
+epoch a block belongs to) is Column algebra and small joins on those rows.
+
+A file's leap seconds and frequency numbers carry on from block to block, and a
+status block belongs to the next measurement epoch. Ranges are read alone, so
+each adds one summary row; one pass over these per file says what every range
+starts with and which epoch follows it.
 """
 
 from __future__ import annotations
 
-import binascii
-import struct
-from collections.abc import Iterator
+import json
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from leafwave.functions import sbf as sc
 from leafwave.functions.timeutil import gps_time_to_utc
+from leafwave.session import broadcast_checked, cut_lineage
+from leafwave.sources.sbf_source import DDL, KINDS, RANGE_BYTES, SbfSource, range_rows
 
-# Block numbers.
-MEAS_EPOCH, RECEIVER_TIME, CHANNEL_STATUS, SAT_VISIBILITY = 4027, 5914, 4013, 4012
-PVT_GEODETIC, DOP = 4007, 4001
 DEFAULT_LEAP_SECONDS = 18
+#: Rows of a state table (ranges, frequency changes) that are broadcast; larger ones are shuffled.
+MAX_BROADCAST_STATE = 500_000
+STATE = ("range", "channel")
+ROWS = tuple(k for k in KINDS if k not in STATE)
+
+
+# -- raw rows ---------------------------------------------------------------------
+
+
+def read_blocks(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES, kinds: Sequence[str] = KINDS) -> DataFrame:
+    """Rows of the block reader, one task per byte range."""
+    spark.dataSource.register(SbfSource)
+    one = path if isinstance(path, str) else json.dumps(list(path))
+    return spark.read.format("sbf").options(rangeBytes=range_bytes, kinds=",".join(kinds)).load(one)
+
+
+def read_whole(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES, kinds: Sequence[str] = KINDS) -> DataFrame:
+    """The same rows through Spark's own file reader, for stores only it can open; a file, of 2 GB at most, is one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, data in zip(b.column(0).to_pylist(), b.column(1)):
+                data = data.as_py()
+                for at in range(0, len(data), range_bytes):
+                    yield from range_rows(name, lambda i, n, d=data: d[i : i + n], len(data), at, min(at + range_bytes, len(data)), tuple(kinds))
 
-RAW_SCHEMA = (
-    "path string, kind string, tow bigint, week int, leap int, svid int, freq_nr int, type int,"
-    " obs_info int, misc int, code_lsb bigint, doppler bigint, carrier_msb int, carrier_lsb int,"
-    " cn0 int, type2 int, obs_info2 int, offset_msb int, code_offset_lsb int, doppler_offset_lsb int,"
-    " a double, b double, c double"
-)
-_COLUMNS = [c.split()[0] for c in RAW_SCHEMA.split(", ")]
-
-
-def blocks(data: bytes) -> Iterator[tuple[int, int, int, memoryview]]:
-    """(number, TOW, week, body after the time) of each block with a right checksum."""
-    view, at = memoryview(data), data.find(b"$@")
-    while at >= 0 and at + 14 <= len(data):
-        crc, ident, length = struct.unpack_from("<HHH", data, at + 2)
-        end = at + length
-        if length < 14 or length % 4 or end > len(data) or binascii.crc_hqx(view[at + 4 : end], 0) != crc:
-            at = data.find(b"$@", at + 2)
-            continue
-        tow, week = struct.unpack_from("<IH", data, at + 8)
-        yield ident & 0x1FFF, tow, week, view[at + 14 : end]
-        at = data.find(b"$@", end)
-
-
-def _channels(body: memoryview) -> Iterator[tuple[int, int]]:
-    """(svid, frequency number) of a channel-status block."""
-    n, size1, size2 = struct.unpack_from("<BBB", body, 0)
-    at = 6
-    for _ in range(n):
-        svid, freq_nr = struct.unpack_from("<BB", body, at)
-        n2 = body[at + 9]
-        if svid:
-            yield svid, freq_nr
-        at += size1 + n2 * size2
-
-
-def _measurements(body: memoryview) -> Iterator[dict]:
-    """Raw fields of every signal: masters, and slaves with their master's fields."""
-    n, size1, size2 = struct.unpack_from("<BBB", body, 0)
-    at = 6
-    for _ in range(n):
-        _, kind, svid, misc, code, dop, lsb, msb, level, _, info, n2 = struct.unpack_from("<BBBBIiHbBHBB", body, at)
-        master = dict(
-            svid=svid, type=kind, obs_info=info, misc=misc, code_lsb=code, doppler=dop,
-        )
-        yield dict(master, kind="obs", carrier_msb=msb, carrier_lsb=lsb, cn0=level)
-        at += size1
-        for _ in range(n2):
-            kind2, _, level2, offsets, msb2, info2, code2, lsb2, dop2 = struct.unpack_from("<BBBBbBHHH", body, at)
-            yield dict(
-                master, kind="obs", carrier_msb=msb2, carrier_lsb=lsb2, cn0=level2, type2=kind2,
-                obs_info2=info2, offset_msb=offsets, code_offset_lsb=code2, doppler_offset_lsb=dop2,
-            )
-            at += size2
-
-
-def _visibility(body: memoryview) -> Iterator[dict]:
-    n, size = struct.unpack_from("<BB", body, 0)
-    for i in range(n):
-        svid, _, azimuth, elevation, rise_set = struct.unpack_from("<BBHhB", body, 2 + i * size)
-        yield dict(kind="sky", svid=svid, a=90.0 - elevation * 0.01, b=azimuth * 0.01, c=float(rise_set))
-
-
-def raw_rows(path: str, data: bytes) -> Iterator[dict]:
-    """All wanted rows of one file, in file order."""
-    freq = {}
-    for number, _, _, body in blocks(data):
-        if number == CHANNEL_STATUS:
-            freq.update(_channels(body))
-    leap = DEFAULT_LEAP_SECONDS
-    for number, tow, week, body in blocks(data):
-        found: Iterator[dict] = iter(())
-        if number == RECEIVER_TIME:
-            leap = struct.unpack_from("<b", body, 6)[0]
-        elif number == CHANNEL_STATUS:
-            freq.update(_channels(body))
-        elif number == MEAS_EPOCH:
-            found = _measurements(body)
-        elif number == SAT_VISIBILITY:
-            found = _visibility(body)
-        elif number == PVT_GEODETIC:
-            mode, _, lat, lon, height = struct.unpack_from("<BBddd", body, 0)
-            found = iter([dict(kind="pvt", type=mode, a=lat, b=lon, c=height)])
-        elif number == DOP:
-            _, _, pdop, _, hdop, vdop = struct.unpack_from("<BBHHHH", body, 0)
-            found = iter([dict(kind="dop", a=pdop * 0.01, b=hdop * 0.01, c=vdop * 0.01)])
-        for row in found:
-            row.update(path=path, tow=tow, week=week, leap=leap, freq_nr=freq.get(row.get("svid")))
-            yield row
-
-
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows: list[dict] = []
-            for row in raw_rows(path, content):
-                rows.append(row)
-                if len(rows) == 50_000:
-                    yield pd.DataFrame(rows, columns=_COLUMNS)
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=_COLUMNS)
-
-
-def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Tagged raw rows: kind obs, sky, pvt or dop, with the UTC epoch."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return with_epoch(files.mapInPandas(_decode, RAW_SCHEMA))
+    return files.mapInArrow(run, DDL)
+
+
+def range_states(blocks: DataFrame) -> DataFrame:
+    """Per range: leap seconds before its first block, and the first epoch of the ranges after it."""
+    ranges = blocks.where("kind = 'range'")
+    order = Window.partitionBy("path").orderBy("part")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    told = ranges.withColumn("leap_in", F.coalesce(F.last("leap", True).over(before), F.lit(DEFAULT_LEAP_SECONDS)))
+    first = F.when(
+        F.col("epoch_at").isNotNull(),
+        F.struct("epoch_at", "epoch_tow", "epoch_week", F.coalesce("epoch_leap", "leap_in").alias("epoch_leap")),
+    )
+    following = F.first(first, True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    return told.select("path", "part", "leap_in", following.alias("following"))
+
+
+def frequency_spans(blocks: DataFrame) -> DataFrame:
+    """Per (path, svid) the places from which to which a frequency number holds.
+
+    Before the first one told, the last one of the file holds.
+    """
+    order = Window.partitionBy("path", "svid").orderBy("at")
+    told = blocks.where("kind = 'channel'").select("path", "svid", "at", "freq_nr").withColumn("before", F.lag("freq_nr").over(order))
+    changes = told.where("before IS NULL OR before <> freq_nr")
+    spans = changes.select("path", "svid", F.col("at").alias("lo"), F.lead("at").over(order).alias("hi"), "freq_nr")
+    early = told.groupBy("path", "svid").agg(F.lit(-1).cast("long").alias("lo"), F.min("at").alias("hi"), F.max_by("freq_nr", "at").alias("freq_nr"))
+    return spans.unionByName(early)
+
+
+def with_state(blocks: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Rows of ``blocks`` with leap seconds, epoch and frequency number from other ranges, and the UTC epoch.
+
+    ``state`` has the rows of kind ``range`` and ``channel``, read once.
+    """
+    state = blocks.where(F.col("kind").isin(*STATE)) if state is None else state
+    rows = blocks.where(F.col("kind").isin(*ROWS))
+    ranges = broadcast_checked(range_states(state), MAX_BROADCAST_STATE)
+    rows = rows.join(ranges, ["path", "part"], "left")
+    rows = rows.withColumn("leap", F.coalesce("leap", "leap_in")).withColumn("epoch_leap", F.coalesce("epoch_leap", F.when(F.col("epoch_at").isNotNull(), F.col("leap_in"))))
+    rows = rows.withColumns({c: F.coalesce(c, f"following.{c}") for c in ("epoch_leap", "epoch_tow", "epoch_week", "epoch_at")}).drop("leap_in", "following")
+    spans = broadcast_checked(frequency_spans(state), MAX_BROADCAST_STATE).select("path", "svid", "lo", "hi", F.col("freq_nr").alias("told"))
+    r, f = rows.drop("freq_nr").alias("r"), spans.alias("f")
+    match = (F.col("r.path") == F.col("f.path")) & (F.col("r.svid") == F.col("f.svid")) & (F.col("r.at") >= F.col("lo")) & (F.col("hi").isNull() | (F.col("r.at") < F.col("hi")))
+    return with_epoch(r.join(f, match, "left").select("r.*", F.col("told").alias("freq_nr")))
+
+
+def read_raw(
+    spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES, whole_files: bool = False, kinds: Sequence[str] = ROWS,
+) -> DataFrame:
+    """Tagged raw rows of the wanted kinds, with the UTC epoch of the block (``epoch``) and of the measurement epoch it
+    belongs to (``epoch_at``, its place in the file, and ``of_epoch``)."""
+    read = read_whole if whole_files else read_blocks
+    return with_state(read(spark, path, range_bytes, kinds), cut_lineage(read(spark, path, range_bytes, STATE)))
 
 
 def with_epoch(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("epoch", gps_time_to_utc("tow", "week", "leap"))
+    raw = raw.withColumn("epoch", gps_time_to_utc("tow", "week", "leap"))
+    return raw.withColumn("of_epoch", gps_time_to_utc("epoch_tow", "epoch_week", "epoch_leap")) if "epoch_tow" in raw.columns else raw
+
 
+# -- observations -------------------------------------------------------------------
 
-def observations(raw: DataFrame) -> DataFrame:
-    """(path, epoch, sid, SNR, Pseudorange, Phase, Doppler) from raw rows."""
+
+def observations(raw: DataFrame, *keys: str | Column) -> DataFrame:
+    """(path, epoch, sid, SNR, Pseudorange, Phase, Doppler) from raw rows, and ``keys`` of them."""
     c = F.col
     rows = raw.where(c("kind") == "obs")
     sig1 = sc.signal_number(c("type"), c("obs_info"))
@@ -170,6 +149,7 @@ def observations(raw: DataFrame) -> DataFrame:
     return rows.select(
         "path",
         "epoch",
+        *keys,
         "sid",
         sc.cn0(c("cn0"), c("__sig")).cast("float").alias("SNR"),
         c("__pr").alias("Pseudorange"),
@@ -210,5 +190,79 @@ def observations_and_geometry(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return obs, keyed.join(angles, ["path", "epoch", "sv"]).drop("sv")
 
 
-def read_sbf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return observations(read_raw(spark, path))
+def latest(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of the last block of their kind before each measurement epoch; ``keys`` tell rows of one block apart."""
+    group = ("path", "epoch_at", "kind", *keys)
+    best = rows.where("epoch_at IS NOT NULL").groupBy(*group).agg(F.max_by(F.struct("*"), "at").alias("row"), F.max("at").alias("last"))
+    if not keys:
+        return best.select("row.*")
+    # A later block replaces the earlier one whole, with the rows it no longer has.
+    newest = best.groupBy("path", "epoch_at", "kind").agg(F.max("last").alias("newest"))
+    return best.join(newest, ["path", "epoch_at", "kind"]).where("last = newest").select("row.*")
+
+
+def epoch_quality(raw: DataFrame) -> DataFrame:
+    """One row per measurement epoch with what the receiver told of itself since the epoch before: dilution of precision,
+    satellites used, accuracies, solution mode, age of corrections, load, temperature and errors. What was not told is NULL."""
+    last = latest(raw.where(F.col("kind").isin("pvt", "dop", "status")))
+    pick = lambda kind, value: F.max(F.when(F.col("kind") == kind, value))
+    field = lambda i: F.get("fields", i)
+    known = lambda value, missing: F.when(value != missing, value)
+    told = last.groupBy("path", "epoch_at").agg(
+        pick("dop", F.col("a")).alias("pdop"), pick("dop", F.col("b")).alias("hdop"), pick("dop", F.col("c")).alias("vdop"),
+        pick("pvt", field(0)).cast("int").alias("n_sv"), pick("pvt", known(field(2), 65535) * 0.01).alias("h_accuracy_m"),
+        pick("pvt", known(field(3), 65535) * 0.01).alias("v_accuracy_m"), pick("pvt", F.col("type")).alias("pvt_mode"),
+        pick("pvt", field(1) * 0.01).alias("mean_corr_age_s"), pick("status", F.col("a")).cast("int").alias("cpu_load"),
+        pick("status", known(F.col("b"), 0) - 100).alias("temperature_c"), pick("status", F.col("c")).cast("long").alias("rx_error"),
+    )
+    epochs = raw.where("kind = 'obs'").groupBy("path", "epoch_at").agg(F.min("epoch").alias("epoch"))
+    return epochs.join(told, ["path", "epoch_at"], "left").drop("epoch_at")
+
+
+def signal_keys(raw: DataFrame) -> DataFrame:
+    """(path, epoch_at, epoch, channel, signal, sid, sv) of every signal measured, known to the table of signals."""
+    signal = F.when(F.col("type2").isNotNull(), sc.signal_number(F.col("type2"), F.col("obs_info2"))).otherwise(sc.signal_number(F.col("type"), F.col("obs_info")))
+    rows = raw.where("kind = 'obs'").select("path", "epoch_at", "epoch", "channel", signal.alias("signal"), sc.sid_of(F.col("svid"), signal).alias("sid"), sc.sv_of(F.col("svid")).alias("sv"))
+    return rows.where("sid IS NOT NULL")
+
+
+def signal_quality(raw: DataFrame) -> DataFrame:
+    """Per (epoch, sid): direction the receiver told, and multipath, smoothing, noise, lock and resolution of the signal.
+
+    Corrections meet a signal by its channel and signal number; those of a
+    slave signal lie under its master's channel. Angles are radians.
+    """
+    keys = signal_keys(raw)
+    told = latest(raw.where("kind = 'extra'").withColumn("signal", sc.signal_number(F.col("type"), F.col("obs_info"))), "channel", "signal")
+    field = lambda i: F.get("fields", i)
+    known = lambda i: F.when(field(i) != 65535, field(i))
+    extra = told.select(
+        "path", "epoch_at", "channel", "signal", (field(0) * 0.001).alias("mp_correction_m"), (field(1) * 0.001).alias("smoothing_corr_m"),
+        (known(2) * 1e-4).alias("code_var"), known(3).alias("carrier_var"), known(4).alias("lock_time_s"), field(5).alias("cum_loss_cont"),
+        (field(6) / 512).alias("car_mp_corr_cycles"), (F.col("misc").bitwiseAND(7) * 0.03125).alias("cn0_highres_correction"),
+    )
+    seen = latest(raw.where("kind = 'sky'"), "svid").select(
+        "path", "epoch_at", sc.sv_of(F.col("svid")).alias("sv"), F.radians("a").alias("broadcast_theta"), F.radians("b").alias("broadcast_phi"),
+        F.when(F.col("c") != 255, F.col("c")).cast("int").alias("rise_set"),
+    )
+    rows = keys.join(extra, ["path", "epoch_at", "channel", "signal"], "left").join(seen, ["path", "epoch_at", "sv"], "left")
+    return rows.drop("channel", "signal", "sv")
+
+
+def corrected_observations(raw: DataFrame) -> DataFrame:
+    """Observations with the finer SNR where the receiver told it, and the observables without its corrections
+    (``SNR_raw``, ``Pseudorange_unsmoothed``, ``Pseudorange_raw``, ``Phase_raw``; NULL where it told none)."""
+    q = signal_quality(raw).select("path", "epoch_at", "sid", "mp_correction_m", "smoothing_corr_m", "car_mp_corr_cycles", "cn0_highres_correction")
+    rows = observations(raw, "epoch_at").join(q, ["path", "epoch_at", "sid"], "left")
+    c = F.col
+    fine = (c("SNR") + F.coalesce("cn0_highres_correction", F.lit(0.0))).cast("float")
+    return rows.select(
+        "path", "epoch", "sid", fine.alias("SNR"), "Pseudorange", "Phase", "Doppler", c("SNR").alias("SNR_raw"),
+        (c("Pseudorange") + c("smoothing_corr_m")).alias("Pseudorange_unsmoothed"),
+        (c("Pseudorange") + c("smoothing_corr_m") + c("mp_correction_m")).alias("Pseudorange_raw"),
+        (c("Phase") + c("car_mp_corr_cycles")).alias("Phase_raw"),
+    )
+
+
+def read_sbf(spark: SparkSession, path: str | list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    return observations(read_raw(spark, path, range_bytes, kinds=("obs",)))
