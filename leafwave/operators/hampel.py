@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from leafwave.functions.timeutil import US, floor_epoch, micros
 from leafwave.operators.quantiles import group_median, median_and_mad
+from leafwave.operators.sliding import sliding_stats
 
 CELL_SID = ("cell_id", "sid")
 # MAD to standard deviation, the rounded and the full constant.
@@ -94,49 +95,22 @@ def sliding_hampel(
 
     Rows are laid out in (keys, time block); each block also receives copies of
     the rows within one window of its edges, so a busy key is worked on by as
-    many tasks as it has blocks and no window loses neighbours.
+    many tasks as it has blocks and no window loses neighbours. NaN counts as
+    missing.
     """
     keys = list(keys)
     half = int(window_hours * 3600 * US)
     block = int((block_hours or max(24.0, 4 * window_hours)) * 3600 * US)
-    valid = _valid(df, var, keys).withColumn("__t", micros("epoch"))
-    home = F.floor(F.col("__t") / F.lit(block)).cast("bigint")
-    first = F.floor((F.col("__t") - half) / F.lit(block)).cast("bigint")
-    last = F.floor((F.col("__t") + half) / F.lit(block)).cast("bigint")
-    laid = valid.withColumn("__home", home).withColumn("__block", F.explode(F.sequence(first, last)))
-
-    frame = Window.partitionBy(*keys, "__block").orderBy("__t").rangeBetween(-half, half)
-    near = F.col("__near")
-    laid = laid.withColumn("__near", F.collect_list(F.col(var)).over(frame))
-    laid = laid.where(F.col("__block") == F.col("__home"))
-    n_series = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("__series"))
-
-    def middle(ordered):
-        n = F.size(ordered)
-        low = F.element_at(ordered, F.floor((n + 1) / 2).cast("int"))
-        high = F.element_at(ordered, F.floor((n + 2) / 2).cast("int"))
-        return (low + high) / 2
-
-    work = laid.withColumn("__near", F.array_sort(near)).withColumn("__med", middle(near))
-    work = work.withColumn(
-        "__mad", middle(F.array_sort(F.transform(near, lambda x: F.abs(x - F.col("__med")))))
-    )
-    work = work.withColumn("__n", F.size(near)).drop("__near")
-    work = work.join(n_series, keys)
-    processed = (F.col("__n") >= min_points) & (F.col("__series") >= min_points)
-    bad = (
-        processed
-        & (F.col("__mad") > 0)
-        & (F.abs(F.col(var) - F.col("__med")) > F.col("__mad") * F.lit(MAD_SCALE * sigma))
-    )
+    there = F.col(var).isNotNull() & ~F.isnan(F.col(var).cast("double")) & _all_present(keys)
+    work = sliding_stats(df.where(there), keys, micros("epoch"), var, half, block)
+    median, mad, n = (F.col(f"window_{c}") for c in ("median", "mad", "n"))
+    # A window that is full enough says the same of its series.
+    processed = n >= min_points
+    bad = processed & (mad > 0) & (F.abs(F.col(var) - median) > mad * F.lit(MAD_SCALE * sigma))
     out = _flag(work, var, keys, bad, processed)
-    if keep_window_stats:
-        out = out.withColumnsRenamed(
-            {"__med": "window_median", "__mad": "window_mad", "__n": "window_n"}
-        )
-    out = out.drop("__t", "__home", "__block", "__near", "__series", "__med", "__mad", "__n")
-    rest = df.where(~(F.col(var).isNotNull() & _all_present(keys)))
-    rest = _flag(rest, var, keys, F.lit(False), F.lit(False))
+    if not keep_window_stats:
+        out = out.drop("window_median", "window_mad", "window_n")
+    rest = _flag(df.where(~there), var, keys, F.lit(False), F.lit(False))
     return out.unionByName(rest, allowMissingColumns=True)
 
 
