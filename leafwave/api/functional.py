@@ -55,9 +55,12 @@ def compute_vod(
 
     def side(group: str) -> DataFrame:
         rows = store.read(group, time_range=span, date=date)
-        # Rows have no position in a table: the file that starts the earliest is "first".
-        order = F.col("rinex_hash") if "rinex_hash" in rows.columns else F.lit(0)
-        return keep_first(rows.withColumn("position", order)).drop("position")
+        if "rinex_hash" not in rows.columns:
+            return keep_first(rows.withColumn("position", F.lit(0))).drop("position")
+        # Rows have no position in a table: the file that starts the earliest is "first", then the smaller hash.
+        files = store.registry(group).where(F.col("action") != "skipped").groupBy("rinex_hash").agg(F.min("start").alias("__start"))
+        order = F.struct(F.coalesce("__start", "epoch"), "rinex_hash")
+        return keep_first(rows.join(files, "rinex_hash", "left").withColumn("position", order)).drop("position", "__start")
 
     return calculate_vod(side(canopy), side(reference), align=options.pop("align", False), **options)
 

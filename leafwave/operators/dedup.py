@@ -86,8 +86,12 @@ def keep_first(rows: DataFrame, keys: Sequence[str] = ("epoch", "sid"), order: s
     return best.select("__r.*").select(*rows.columns)
 
 
-def dedup_read(obs: DataFrame, registry: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Epochs covered by the latest registry row of some (start, end)."""
+def dedup_read(
+    obs: DataFrame, registry: DataFrame | None, keys: Sequence[str] = (), order: str = "position"
+) -> DataFrame:
+    """Epochs covered by the latest registry row of some (start, end); without a registry the first row of each (keys, epoch, sid)."""
+    if registry is None:
+        return keep_first(obs, [*keys, "epoch", "sid"], order)
     kept = keep_last(registry, [*keys, "start", "end"])
     return inside_any(obs, kept, keys)
 

@@ -1,4 +1,8 @@
-"""Ephemeris and clock interpolation as bracket joins and closed-form polynomials."""
+"""Ephemeris and clock interpolation as bracket joins and closed-form polynomials.
+
+Nodes and the spans between them are written once; targets find their span by
+an equi-join on (satellite, time bucket).
+"""
 
 from __future__ import annotations
 
@@ -7,12 +11,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leafwave.functions.timeutil import US, from_micros, micros
-from leafwave.operators.ordered import DAY, asof_both_sides, running_sum, with_neighbours
-from leafwave.operators.quantiles import group_median
+from leafwave.operators.ordered import DAY, asof_both_sides, probe, running_sum, with_neighbours
+from leafwave.session import broadcast_checked, cut_lineage
 
 POSITIONS = ("X", "Y", "Z")
 VELOCITIES = ("Vx", "Vy", "Vz")
 JUMP_THRESHOLD = 1e-6
+#: Satellites whose first and last node are broadcast; of more they are shuffled.
+MAX_KEYS = 100_000
 
 
 def _whole_seconds(c: Column | str) -> Column:
@@ -20,31 +26,32 @@ def _whole_seconds(c: Column | str) -> Column:
     return (us - F.pmod(us, F.lit(US))) / F.lit(float(US))
 
 
-def central_velocity(ephem: DataFrame, key: str = "sv", block_seconds: float = DAY) -> DataFrame:
-    """Velocities by central differences over the median spacing, one-sided at the ends."""
-    rows = with_neighbours(ephem, [key], "epoch", ["epoch", *POSITIONS], block_seconds)
+def node_spacing(nodes: DataFrame, block_seconds: float = DAY) -> float | None:
+    """Median distance of consecutive epochs over all satellites, in whole seconds; one number reaches the driver."""
     epochs = with_neighbours(
-        ephem.select("epoch").distinct(), [], "epoch", ["epoch"], block_seconds, following=False
+        nodes.select("epoch").distinct(), [], "epoch", ["epoch"], block_seconds, following=False
     )
     gaps = epochs.where(F.col("prev_epoch").isNotNull()).select(
-        F.lit(0).alias("k"), ((micros("epoch") - micros("prev_epoch")) / F.lit(1e6)).alias("gap")
+        ((micros("epoch") - micros("prev_epoch")) / F.lit(1e6)).alias("gap")
     )
-    # The spacing counts in whole seconds.
-    dt = group_median(gaps, ["k"], "gap", "dt").select(F.floor("dt").cast("double")).scalar()
-    out = rows
+    # Few different gaps are left to rank.
+    counts = gaps.groupBy("gap").count()
+    spacing = counts.agg(F.floor(F.percentile("gap", F.lit(0.5), F.col("count"))).cast("double")).first()[0]
+    return spacing
+
+
+def central_velocity(ephem: DataFrame, key: str = "sv", block_seconds: float = DAY) -> DataFrame:
+    """Velocities by central differences over the median spacing, one-sided at the ends; written once."""
+    ephem = cut_lineage(ephem)
+    dt = F.lit(node_spacing(ephem, block_seconds)).cast("double")
+    out = with_neighbours(ephem, [key], "epoch", ["epoch", *POSITIONS], block_seconds)
     for p, v in zip(POSITIONS, VELOCITIES):
         inner = (F.col(f"next_{p}") - F.col(f"prev_{p}")) / (F.lit(2.0) * dt)
         first = (F.col(f"next_{p}") - F.col(p)) / dt
         last = (F.col(p) - F.col(f"prev_{p}")) / dt
         value = F.when(F.col("prev_epoch").isNull(), first).when(F.col("next_epoch").isNull(), last)
         out = out.withColumn(v, value.otherwise(inner))
-    return out.select(*ephem.columns, *VELOCITIES)
-
-
-def _segments(nodes: DataFrame, key: str, columns: Sequence[str], block_seconds: float) -> DataFrame:
-    """One row per pair of consecutive nodes: epoch, the values, and their ``next_``."""
-    segs = with_neighbours(nodes, [key], "epoch", ["epoch", *columns], block_seconds, previous=False)
-    return segs.where(F.col("next_epoch").isNotNull())
+    return cut_lineage(out.select(*ephem.columns, *VELOCITIES))
 
 
 def _hermite(u: Column, h: Column, p0: Column, p1: Column, v0: Column, v1: Column) -> tuple[Column, Column]:
@@ -68,11 +75,17 @@ def hermite_interpolate(
     is extended. A satellite without positions or velocities yields NULL.
     """
     cols = [*POSITIONS, *VELOCITIES]
-    segs = _segments(ephem, key, cols, block_seconds)
-    carry = ["next_epoch", *cols, *[f"next_{c}" for c in cols]]
-    placed = asof_both_sides(targets, segs, [key], "epoch", carry, block_seconds)
-    seg = F.coalesce("at_before", "at_after")
-    placed = placed.withColumn("__s", seg)
+    nodes = with_neighbours(ephem, [key], "epoch", ["epoch", *cols], block_seconds, previous=False)
+    spans = cut_lineage(
+        nodes.where(F.col("next_epoch").isNotNull()).select(
+            key, micros("epoch").alias("__lo"), micros("next_epoch").alias("__hi"),
+            F.struct("epoch", "next_epoch", *cols, *[f"next_{c}" for c in cols]).alias("__s"),
+        )
+    )
+    ends = spans.groupBy(key).agg(F.min("__lo").alias("__first"), (F.max("__hi") - 1).alias("__last"))
+    within = targets.join(broadcast_checked(ends, MAX_KEYS), key, "left")
+    at = F.greatest(F.least(micros("epoch"), F.col("__last")), F.col("__first"))
+    placed = probe(within, spans, [key], at, "__lo", "__hi", block_seconds)
     s = F.col("__s")
     t0, t1 = _whole_seconds(s["epoch"]), _whole_seconds(s["next_epoch"])
     placed = placed.withColumn("__h", t1 - t0).withColumn(
@@ -122,17 +135,17 @@ def clock_interpolate(
     threshold: float = JUMP_THRESHOLD, block_seconds: float = DAY,
 ) -> DataFrame:
     """Linear within a segment; NULL across jumps, outside the data and in one-point segments."""
-    segs = clock_segments(clock, value, key, threshold, block_seconds)
-    sizes = segs.groupBy(key, "segment").agg(F.count(F.lit(1)).alias("__size"))
-    segs = segs.join(sizes, [key, "segment"]).where(F.col("__size") >= 2)
-    at = targets.withColumn("__asked", F.col("epoch")).withColumn(
-        "epoch", from_micros((_whole_seconds("epoch") * US).cast("bigint"))
-    )
-    both = asof_both_sides(at, segs, [key], "epoch", [value, "segment"], block_seconds)
-    b, a = F.col("at_before"), F.col("at_after")
-    same = b["segment"] == a["segment"]
-    span = micros(a["epoch"]) - micros(b["epoch"])
-    u = F.when(span == 0, F.lit(0.0)).otherwise((micros("epoch") - micros(b["epoch"])) / span)
-    estimate = F.when(same, b[value] + (a[value] - b[value]) * u)
-    keep = [F.col("__asked").alias(c) if c == "epoch" else F.col(c) for c in targets.columns]
-    return both.select(*keep, estimate.alias(value))
+    rows = with_neighbours(clock.where(F.col(value).isNotNull()), [key], "epoch", ["epoch", value], block_seconds)
+    joined = lambda side: F.coalesce(F.abs(F.col(value) - F.col(f"{side}_{value}")) <= F.lit(threshold), F.lit(False))
+    here = micros("epoch")
+    # A node that a jump follows ends its segment: it holds for its own epoch, if a node before belongs to it.
+    spans = rows.where(joined("prev") | joined("next")).select(
+        key, here.alias("__lo"), F.when(joined("next"), micros("next_epoch")).otherwise(here + 1).alias("__hi"),
+        F.col(value).alias("__from"), F.when(joined("next"), F.col(f"next_{value}")).otherwise(F.col(value)).alias("__to"),
+        here.alias("__start"), F.when(joined("next"), micros("next_epoch") - here).otherwise(0).alias("__span"),
+    )
+    asked = (_whole_seconds("epoch") * US).cast("bigint")
+    both = probe(targets, spans, [key], asked, "__lo", "__hi", block_seconds)
+    u = F.when(F.col("__span") == 0, F.lit(0.0)).otherwise((asked - F.col("__start")) / F.col("__span"))
+    estimate = F.col("__from") + (F.col("__to") - F.col("__from")) * u
+    return both.select(*[F.col(c) for c in targets.columns], estimate.alias(value))

@@ -1,4 +1,4 @@
-"""Interval logic over file time ranges, by sorted running extremes instead of pairs."""
+"""Interval logic over file time ranges, by sorted running extremes and disjoint spans instead of pairs."""
 
 from __future__ import annotations
 
@@ -7,7 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from leafwave.functions.timeutil import US, block_of, micros
-from leafwave.operators.ordered import DAY, prefix_max_at
+from leafwave.operators.ordered import DAY, prefix_max_at, probe, with_neighbours
+
+#: Day pieces of disjoint spans that are broadcast to the points; of more both sides are shuffled.
+MAX_BROADCAST_SPANS = 1_000_000
 
 
 def overlapping(
@@ -23,14 +26,51 @@ def overlapping(
     return marked.where(F.col("__reach") >= F.col(start)).drop("__reach")
 
 
+def merged(
+    intervals: DataFrame, keys: Sequence[str] = (), start: str = "start", end: str = "end", block_seconds: float = DAY,
+) -> DataFrame:
+    """The union of closed intervals as disjoint ones, per key; intervals that touch are one.
+
+    An interval opens a new span when everything that starts before it has
+    ended. A span ends where the intervals before the next span's start end.
+    """
+    keys = list(keys)
+    starts = intervals.where(F.col(start) <= F.col(end)).groupBy(*keys, start).agg(F.max(end).alias("__end"))
+    starts = starts.withColumn("__block", block_of(start, block_seconds))
+    earlier = lambda *by: Window.partitionBy(*keys, *by).rowsBetween(Window.unboundedPreceding, -1)
+    tops = starts.groupBy(*keys, "__block").agg(F.max("__end").alias("__top"))
+    tops = tops.select(
+        *[F.col(k).alias(f"__right_{k}") for k in keys], F.col("__block").alias("__right_block"),
+        F.max("__top").over(earlier().orderBy("__block")).alias("__far"),
+    )
+    near = F.max("__end").over(earlier("__block").orderBy(start))
+    match = F.col("__block") == F.col("__right_block")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
+    reached = starts.withColumn("__near", near).join(tops, match, "left").withColumn("__reach", F.greatest("__near", "__far"))
+    opening = reached.where(F.col("__reach").isNull() | (F.col("__reach") < F.col(start))).select(*keys, start, "__reach")
+    last = starts.groupBy(*keys).agg(F.max("__end").alias("__last"))
+    spans = with_neighbours(opening, keys, start, ["__reach"], block_seconds, previous=False)
+    match = F.lit(True)
+    for k in keys:
+        match = match & spans[k].eqNullSafe(last[k])
+    return spans.join(last, match).select(*[spans[k] for k in keys], start, F.coalesce("next___reach", "__last").alias(end))
+
+
 def inside_any(
     points: DataFrame, intervals: DataFrame, keys: Sequence[str] = (), at: str = "epoch",
     start: str = "start", end: str = "end", invert: bool = False, block_seconds: float = DAY,
 ) -> DataFrame:
-    """Points inside at least one closed interval, or with ``invert`` inside none."""
-    marked = prefix_max_at(points, intervals, keys, at, start, end, "__reach", block_seconds)
-    hit = F.coalesce(F.col("__reach") >= F.col(at), F.lit(False))
-    return marked.where(~hit if invert else hit).drop("__reach")
+    """Points inside at least one closed interval, or with ``invert`` inside none.
+
+    The intervals become disjoint spans, written once. While these are few, they
+    go to the points, which are neither sorted nor shuffled.
+    """
+    spans = merged(intervals, keys, start, end, block_seconds)
+    spans = spans.select(*keys, micros(start).alias("__lo"), (micros(end) + 1).alias("__hi"), F.lit(True).alias("__hit"))
+    marked = probe(points, spans, keys, micros(at), "__lo", "__hi", block_seconds, MAX_BROADCAST_SPANS)
+    hit = F.col("__hit").isNotNull()
+    return marked.where(~hit if invert else hit).select(*points.columns)
 
 
 def containers(

@@ -13,12 +13,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leafwave.functions.timeutil import block_of
+from leafwave.session import broadcast_checked, cut_lineage
 
 DAY = 86400.0
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    return left.join(right, keys, "left")
+    """Left join in which NULL keys match each other; the keys of ``left`` stay."""
+    there = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    match = F.lit(True)
+    for k in keys:
+        match = match & left[k].eqNullSafe(there[f"__right_{k}"])
+    return left.join(there, match, "left").drop(*[f"__right_{k}" for k in keys])
 
 
 def with_neighbours(
@@ -61,6 +67,32 @@ def with_neighbours(
     return rows.drop("__block", "__row", "__p", "__n", "__before", "__after")
 
 
+def probe(
+    points: DataFrame, spans: DataFrame, keys: Sequence[str], at: Column, lo: str, hi: str, bucket_seconds: float = DAY,
+    max_broadcast: int = 0,
+) -> DataFrame:
+    """Attach to each point the span of its keys with ``lo`` <= ``at`` < ``hi``; NULLs where there is none.
+
+    Spans are disjoint per key, their ends in microseconds; NULL keys are a key
+    of their own. Both sides meet by (keys, time bucket), so it is one
+    equi-join that neither sorts a key nor sends it to one task; a span is
+    repeated in each bucket it touches. With ``max_broadcast`` the repeated
+    spans are written once, counted, and broadcast if there are no more.
+    """
+    keys = list(keys)
+    width = int(bucket_seconds * 1_000_000)
+    bucket = lambda t: F.floor(t / F.lit(width)).cast("bigint")
+    names = {k: f"__right_{k}" for k in [*keys, "__probe_bucket"]}
+    s = spans.withColumn("__probe_bucket", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi) - 1)))).withColumnsRenamed(names)
+    if max_broadcast:
+        s = broadcast_checked(cut_lineage(s), max_broadcast)
+    p = points.withColumn("__probe_at", at).withColumn("__probe_bucket", bucket(F.col("__probe_at")))
+    match = (p["__probe_bucket"] == s["__right___probe_bucket"]) & (p["__probe_at"] >= s[lo]) & (p["__probe_at"] < s[hi])
+    for k in keys:
+        match = match & p[k].eqNullSafe(s[names[k]])
+    return p.join(s, match, "left").drop("__probe_at", "__probe_bucket", *names.values(), lo, hi)
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],

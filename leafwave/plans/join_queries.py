@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from leafwave.functions.sids import sid_part
 from leafwave.operators import asof, dedup, intervals, satellites
 from leafwave.operators import interpolation as ip
+from leafwave.operators.ordered import with_neighbours
 from leafwave.plans.base import OBS_SQL, PASSES_SQL, obs, passes, query, rounded, table
 
 # -- products -----------------------------------------------------------------
@@ -164,6 +165,18 @@ def clock_interp(spark, sf):
     return rounded(out, 9)
 
 
+@query(
+    "neighbours_null_key",
+    f"""WITH {OBS_SQL}, n AS (SELECT CASE WHEN sid NOT LIKE 'R%' THEN sid END AS sid, epoch, max(SNR) AS SNR FROM obs GROUP BY 1, 2)
+SELECT sid, epoch, round(SNR,6) AS SNR, round(lag(SNR) OVER w,6) AS prev_SNR, round(lead(SNR) OVER w,6) AS next_SNR FROM n WINDOW w AS (PARTITION BY sid ORDER BY epoch)""",
+)
+def neighbours_null_key(spark, sf):
+    """Rows of an unknown signal are a series of their own."""
+    sid = F.when(~F.col("sid").startswith("R"), F.col("sid"))
+    rows = obs(spark, sf).groupBy(sid.alias("sid"), "epoch").agg(F.max("SNR").alias("SNR"))
+    return rounded(with_neighbours(rows, ["sid"], "epoch", ["SNR"]))
+
+
 GEO_SQL = OBS_SQL + ", geo AS (SELECT epoch, sid, avg(theta) AS btheta, avg(phi) AS bphi FROM obs WHERE receiver='reference' GROUP BY 1, 2)"
 
 
@@ -190,12 +203,12 @@ def sid_report(spark, sf):
 
 @query(
     "merge_products",
-    f"""WITH {EPHEM_SQL}, p AS (SELECT sv, epoch, X FROM ephem WHERE X >= 5e6), c AS (SELECT sv, epoch, CASE WHEN clock_offset < 0.4 THEN clock_offset END AS clock_offset FROM ephem),
+    f"""WITH {EPHEM_SQL}, p AS (SELECT sv, epoch, CASE WHEN X >= 5e6 THEN X END AS X FROM ephem), c AS (SELECT sv, epoch, CASE WHEN clock_offset < 0.4 THEN clock_offset END AS clock_offset FROM ephem),
 m AS (SELECT coalesce(p.epoch,c.epoch) AS epoch, coalesce(p.sv,c.sv) AS sv, X, clock_offset FROM p FULL JOIN c ON p.sv = c.sv AND p.epoch = c.epoch)
 SELECT epoch, sv, round(X,3) AS X, round(clock_offset,9) AS clock_offset FROM m WHERE epoch IN (SELECT epoch FROM m WHERE X IS NOT NULL OR clock_offset IS NOT NULL)""",
 )
 def merge_products(spark, sf):
-    p = positions(spark, sf).where(F.col("X") >= 5e6).select("sv", "epoch", "X")
+    p = positions(spark, sf).select("sv", "epoch", F.when(F.col("X") >= 5e6, F.col("X")).alias("X"))
     c = clock(spark, sf).withColumn("clock_offset", F.when(F.col("clock_offset") < 0.4, F.col("clock_offset")))
     out = asof.merge_products(p, c)
     return out.select("epoch", "sv", F.round("X", 3).alias("X"), F.round("clock_offset", 9).alias("clock_offset"))

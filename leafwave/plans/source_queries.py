@@ -414,12 +414,12 @@ def catalog_range(spark, sf):
 
 @query(
     "catalog_upsert",
-    "WITH old AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1), new AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) SELECT k AS physical_path, v FROM new UNION ALL SELECT k, v FROM old WHERE k NOT IN (SELECT k FROM new)",
+    "WITH old AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1), new AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) SELECT k AS physical_path, v FROM new UNION ALL SELECT k, v FROM old WHERE k NOT IN (SELECT k FROM new)",
 )
 def catalog_upsert(spark, sf):
     o = table(spark, sf, "orders")
-    side = lambda s: o.where(F.col("o_orderstatus") == s).groupBy(F.col("o_custkey").alias("physical_path")).agg(F.max("o_orderkey").alias("v"))
-    return fn.upsert(side("F"), side("O"))
+    side = lambda part: o.where(part).groupBy(F.col("o_custkey").alias("physical_path")).agg(F.max("o_orderkey").alias("v"))
+    return fn.upsert(side(F.col("o_orderstatus") != "O"), side(F.col("o_orderstatus") == "O"))
 
 
 @query(

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from leafwave.functions.timeutil import between
-from leafwave.operators.dedup import batch_actions, dedup_read, mark_existing, prepare_overwrite
+from leafwave.operators.dedup import batch_actions, dedup_read, mark_existing, prepare_overwrite, skip_reasons
 from leafwave.operators.temporal import resample
 from leafwave.schema import REGISTRY_SCHEMA, nan_to_null
 from leafwave.session import broadcast_checked
@@ -298,19 +298,57 @@ class ObservationStore:
         rows.write.mode("append").parquet(f"{self.root}/registry")
         return rows
 
-    def write_vod(self, vod: DataFrame, analysis: str, canopy_hash: str, reference_hash: str, branch: str = "main") -> str:
-        """Append a retrieval; the registry hash joins both sides' hashes."""
-        group = f"vod_{analysis}"
-        snapshot = self.append(vod, group, branch, f"VOD {analysis}")
-        span = vod.agg(F.min("epoch").alias("start"), F.max("epoch").alias("end"))
-        row = span.select(
-            F.lit(group).alias("group"), F.lit(f"{canopy_hash}_{reference_hash}").alias("rinex_hash"), "start", "end",
-            F.lit(snapshot).alias("snapshot_id"), F.lit("written").alias("action"), F.lit(f"VOD {analysis}").alias("commit_msg"),
-            F.lit(_now()).cast("timestamp_ntz").alias("written_at"), F.lit("append").alias("write_strategy"),
-            F.lit("{}").alias("attrs"), F.lit(None).cast("string").alias("canonical_name"),
-            F.lit(None).cast("string").alias("physical_path"),
-        )
-        row.write.mode("append").parquet(f"{self.root}/registry")
+    def append_file(
+        self, df: DataFrame, group: str, rinex_hash: str, branch: str = "main", overwrite: bool = False, message: str = "append",
+    ) -> str | None:
+        """Append one file's rows, unless its hash is on record or its time meets a file on record; then nothing is written
+        and None returned. With ``overwrite`` stored epochs inside its time are replaced instead."""
+        if not self.group_exists(group, branch):
+            raise ValueError(f"no group {group!r} on branch {branch!r}")
+        if rinex_hash is None:
+            raise ValueError("rows without a file hash cannot be appended")
+        span = df.agg(F.min("epoch").alias("start"), F.max("epoch").alias("end")).withColumn("rinex_hash", F.lit(rinex_hash))
+        one = self.spark.createDataFrame(span.collect(), "start timestamp_ntz, end timestamp_ntz, rinex_hash string")
+        known = self.registry(group).where(F.col("action") != "skipped")
+        met = not skip_reasons(one, known).where("reason <> ''").isEmpty()
+        if met and not overwrite:
+            return None
+        if met:
+            snapshot = self._replace_intervals(df, group, branch, one, message)
+        else:
+            snapshot = self.append(df, group, branch, message)
+        self._record(one, group, snapshot, "overwritten" if met else "appended", message, "overwrite" if overwrite else "append")
+        return snapshot
+
+    def _record(self, files: DataFrame, group: str, snapshot: str, action: str, message: str, strategy: str) -> None:
+        """Registry rows for (start, end, rinex_hash)."""
+        rows = files.select(
+            F.lit(group).alias("group"), "rinex_hash", "start", "end", F.lit(snapshot).alias("snapshot_id"), F.lit(action).alias("action"),
+            F.lit(message).alias("commit_msg"), F.lit(_now()).cast("timestamp_ntz").alias("written_at"), F.lit(strategy).alias("write_strategy"),
+            F.lit("{}").alias("attrs"), F.lit(None).cast("string").alias("canonical_name"), F.lit(None).cast("string").alias("physical_path"),
+        )
+        rows.write.mode("append").parquet(f"{self.root}/registry")
+
+    def write_vod(
+        self, vod: DataFrame, analysis: str, canopy_hash: str, reference_hash: str, branch: str = "main", overwrite: bool = False,
+    ) -> str:
+        """Write a retrieval once; the registry hash joins both sides' hashes.
+
+        A retrieval of the same two sides that is on record is left alone, or
+        with ``overwrite`` replaced, so a run that is repeated changes nothing.
+        """
+        group, key, message = f"vod_{analysis}", f"{canopy_hash}_{reference_hash}", f"VOD {analysis}"
+        before = self.registry(group).where(F.col("rinex_hash") == key).orderBy(F.desc("written_at")).first()
+        if before is not None and not overwrite:
+            return before["snapshot_id"]
+        span = vod.agg(F.min("epoch").alias("start"), F.max("epoch").alias("end")).withColumn("rinex_hash", F.lit(key))
+        one = self.spark.createDataFrame(span.collect(), "start timestamp_ntz, end timestamp_ntz, rinex_hash string")
+        if before is None:
+            snapshot = self.append(vod, group, branch, message)
+        else:
+            old = self.spark.createDataFrame([(before["start"], before["end"])], "start timestamp_ntz, end timestamp_ntz")
+            snapshot = self._replace_intervals(vod, group, branch, old.unionByName(one.select("start", "end")), message)
+        self._record(one, group, snapshot, "written" if before is None else "overwritten", message, "overwrite" if overwrite else "append")
         return snapshot
 
     # -- maintenance ----------------------------------------------------------------

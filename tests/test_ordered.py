@@ -117,3 +117,59 @@ def test_adjacent_files_do_not_overlap(spark):
     a = to_ntz(spark.createDataFrame(pd.DataFrame({"start": [t(0, 15)], "end": [t(0, 29, 55)]})), "start", "end")
     b = to_ntz(spark.createDataFrame(pd.DataFrame({"start": [t(0)], "end": [t(0, 14, 55)]})), "start", "end")
     assert iv.overlapping(a, b).count() == 0
+
+
+@pytest.mark.parametrize("block", [3600, 86400])
+def test_merged_spans_are_the_union(spans, block):
+    pdf, df = spans
+    got = sorted((r["k"], r["start"], r["end"]) for r in iv.merged(df, ["k"], block_seconds=block).collect())
+    want = []
+    for k, g in pdf.sort_values("start").groupby("k"):
+        for s, e in zip(g.start, g.end):
+            if want and want[-1][0] == k and s <= want[-1][2]:
+                want[-1][2] = max(want[-1][2], e)
+            else:
+                want.append([k, s, e])
+    assert got == sorted(map(tuple, want)) and len(got) < len(pdf)
+
+
+@pytest.mark.parametrize("limit", [iv.MAX_BROADCAST_SPANS, 1])
+def test_points_inside_spans(spark, spans, monkeypatch, limit):
+    monkeypatch.setattr(iv, "MAX_BROADCAST_SPANS", limit)
+    pdf, df = spans
+    rng = np.random.default_rng(8)
+    times = np.concatenate([pdf.start.to_numpy(), pdf.end.to_numpy(), epochs(rng, 300, 2).to_numpy(), (pdf.end + pd.Timedelta("1us")).to_numpy()])
+    pts = pd.DataFrame({"id": range(len(times)), "k": rng.choice(["x", "y", "z"], len(times)), "epoch": times})
+    points = to_ntz(spark.createDataFrame(pts), "epoch")
+    for keys in (["k"], []):
+        want = {p.id for p in pts.itertuples() if any((not keys or s.k == p.k) and s.start <= p.epoch <= s.end for s in pdf.itertuples())}
+        assert {r["id"] for r in iv.inside_any(points, df, keys, block_seconds=3600).collect()} == want
+        assert {r["id"] for r in iv.inside_any(points, df, keys, invert=True, block_seconds=3600).collect()} == set(pts.id) - want
+    assert iv.inside_any(points, df.limit(0), ["k"]).collect() == []
+
+
+def test_points_are_not_shuffled_while_spans_are_few(spark, spans):
+    _, df = spans
+    points = df.select("id", "k", F.col("start").alias("epoch"))
+    plan = iv.inside_any(points, df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_null_keys_are_a_key(spark):
+    rows = [(None, f"2024-01-0{d} 00:00:00", float(d)) for d in (1, 2, 5)] + [("a", "2024-01-03 00:00:00", 3.0)]
+    df = to_ntz(spark.createDataFrame(rows, "sid string, epoch string, v double"), "epoch")
+    got = {r["v"]: (r["prev_v"], r["next_v"]) for r in with_neighbours(df, ["sid"], "epoch", ["v"]).collect()}
+    assert got == {1.0: (None, 2.0), 2.0: (1.0, 5.0), 5.0: (2.0, None), 3.0: (None, None)}
+    sums = {r["v"]: r["s"] for r in running_sum(df, ["sid"], "epoch", F.col("v"), "s").collect()}
+    assert sums == {1.0: 1.0, 2.0: 3.0, 5.0: 8.0, 3.0: 3.0}
+    right = df.withColumn("w", F.col("v"))
+    near = {r["v"]: r["w"] for r in nearest_asof(df, right.where("v <> 2"), ["sid"], ["w"]).collect()}
+    assert near == {1.0: 1.0, 2.0: 1.0, 5.0: 5.0, 3.0: 3.0}
+
+
+def test_read_without_a_registry_keeps_first_rows(spark):
+    from leafwave.operators.dedup import dedup_read
+
+    rows = [("2024-01-01", "a", 2, 1.0), ("2024-01-01", "a", 1, 2.0), ("2024-01-01", "b", 9, 3.0)]
+    df = to_ntz(spark.createDataFrame(rows, "epoch string, sid string, position int, v double"), "epoch")
+    assert sorted(r["v"] for r in dedup_read(df, None).collect()) == [2.0, 3.0]
