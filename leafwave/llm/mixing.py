@@ -22,18 +22,22 @@ row each, in one task.
 A null source is a source of its own, last in order. A null or empty text has
 size 0 and is emitted by its source's rate like any other. Repeated rows draw
 alike. A source without words has target 0 and rate 0. An empty table gives an
-empty table. Extra columns are carried along.
+empty table. Very long texts are counted whole. Extra columns are carried along
+whatever their names; only ``mix`` leaves out a column of that name, in whose
+place the result stands.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from leafwave.llm.columns import packed
 from leafwave.llm.common import once, saved, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = "mix-1"
+USED = ("doc_id", "text", "source")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, budget: int = 1) -> DataFrame:
@@ -82,8 +86,7 @@ def mix(
     seed: str = SEED,
 ) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with the struct ``mix``: size, source_size, target, rate, copies."""
-    if "mix" in docs.columns:
-        raise ValueError("the documents already have a column named mix")
+    docs, back = packed(docs, USED)
     size = word_count(F.col("text"))
     stats = saved(source_targets(docs.select("source", size.alias("size")), weights, max_repeats))
     stats = stats.select(F.col("source").alias("__mix_source"), F.struct("source_size", "target", "rate").alias("__mix_stats"))
@@ -94,11 +97,13 @@ def mix(
         size.alias("size"), s["source_size"].alias("source_size"), s["target"].alias("target"),
         s["rate"].alias("rate"), copies(s["rate"], identity, seed).cast("int").alias("copies"),
     )
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], once(verdict).alias("mix"))
+    mixed = joined.select(*docs.columns, once(verdict).alias("__mix_verdict"))
+    return mixed.select(*back("mix"), F.col("__mix_verdict").alias("mix"))
 
 
 def emit(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = SEED) -> DataFrame:
     """The mix itself: each document as many times as it is taken, columns unchanged."""
+    docs, back = packed(docs, USED)
     out = mix(docs, weights, max_repeats, seed).where("mix.copies > 0")
     repeated = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies"))).alias("__mix_copy")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], repeated).drop("__mix_copy")
+    return out.select(*docs.columns, repeated).select(*back())

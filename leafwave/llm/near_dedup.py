@@ -48,6 +48,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leafwave.llm.columns import packed
 from leafwave.llm.common import kept_in_worker, only, saved
 from leafwave.llm.url_filter import bloom_blocks, possible
 
@@ -328,11 +329,12 @@ def keep_first(docs: DataFrame, how: Bands = Bands(), least: float = SIMILARITY)
 
     Documents with null text all stay.
     """
+    docs, back = packed(docs, ("doc_id", "text"))
     _, texts = duplicate_classes(docs, how, least)
     first = texts.where("first_id <=> class_id").groupBy("label").agg(F.min(F.struct("node", "first_id")).alias("f"))
     first = saved(first.select(F.col("f.node").alias("__nd_node"), F.col("f.first_id").alias("__nd_id")))
     named = docs.where("text is not null").withColumn("__nd_text", F.unhex(F.md5("text")))
     kept = named.join(first, (F.col("__nd_text") == F.col("__nd_node")) & F.col("doc_id").eqNullSafe(F.col("__nd_id")))
     # Only repeated rows are left to tell apart; they are already together.
-    kept = kept.dropDuplicates(["__nd_node", "__nd_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.unionByName(docs.where("text is null"))
+    kept = kept.dropDuplicates(["__nd_node", "__nd_id"]).select(*back())
+    return kept.unionByName(docs.where("text is null").select(*back()))

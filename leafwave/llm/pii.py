@@ -34,13 +34,21 @@ addresses, whose parts may get another number of digits (IP only).
 
 Everything is a row-wise expression: no shuffle, no Python. Null text stays
 null with no findings; empty text stays empty. Repeated rows get equal results,
-an empty table gives an empty table, and other columns are carried along.
+an empty table gives an empty table, very long texts are read whole. Other
+columns are carried along whatever their names; only ``pseudonymise`` leaves out
+a column named ``pii``, in whose place the result stands. Phone numbers have no
+check digit: their form alone decides. Dates lie in the years 1 to 9999 and stay
+there.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leafwave.llm.columns import packed
+
 # -- fixed values: candidate forms -------------------------------------------
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,6}"
 #: Lengths of the IBANs of each country.
@@ -95,6 +103,11 @@ HEX = (DIGITS, "abcdef", "ABCDEF")
 ROUNDS = 8
 #: Days of 400 Gregorian years, 146097 = 189 * 773: the two halves of a date.
 DATE_HALVES = (189, 773)
+#: 400-year cycles that end with the year 9999; the first day of the year 1 counted from there.
+CYCLE_START = "2000-01-01"
+FIRST_DAY = (datetime.date(1, 1, 1) - datetime.date.fromisoformat(CYCLE_START)).days
+#: Steps to leave the year 0, each of which fails with a probability of 0.0025.
+WALK = 24
 IP_HALVES = (65536, 65536)
 
 
@@ -248,20 +261,18 @@ def _pseudonym(kind: Column, m: Column, key: str) -> Column:
         ),
     )
     iso, turned, year, month, day = _date_parts(m)
-    days = F.datediff(F.make_date(year, month, day), F.lit("1800-01-01").cast("date")).cast("long")
+    days = F.datediff(F.make_date(year, month, day), F.lit(CYCLE_START).cast("date")).cast("long")
     cycle = DATE_HALVES[0] * DATE_HALVES[1]
-    date = _let(
-        days,
-        lambda n: _let(
-            permute_pair(
-                F.floor(F.pmod(n, F.lit(cycle)) / DATE_HALVES[1]), F.pmod(F.pmod(n, F.lit(cycle)), F.lit(DATE_HALVES[1])), DATE_HALVES, salt
-            ),
-            lambda p: F.date_add(
-                F.lit("1800-01-01").cast("date"),
-                (n - F.pmod(n, F.lit(cycle)) + p["a"] * DATE_HALVES[1] + p["b"]).cast("int"),
-            ),
-        ),
-    )
+
+    def turn(n: Column) -> Column:
+        within = F.pmod(n, F.lit(cycle))
+        pair = permute_pair(F.floor(within / DATE_HALVES[1]), F.pmod(within, F.lit(DATE_HALVES[1])), DATE_HALVES, salt)
+        return _let(pair, lambda p: n - within + p["a"] * DATE_HALVES[1] + p["b"])
+
+    # A day of the year 0 is no date: permute on until the day is one, which keeps the mapping one to one.
+    walked = lambda n: F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), n, lambda x, _: F.when(x < FIRST_DAY, turn(x)).otherwise(x))
+    moved = _let(_let(days, turn), lambda n: F.when(n >= FIRST_DAY, n).otherwise(walked(n)))
+    date = F.date_add(F.lit(CYCLE_START).cast("date"), moved.cast("int"))
     y, mo, dd = (F.lpad(f(date).cast("string"), n, "0") for f, n in ((F.year, 4), (F.month, 2), (F.day, 2)))
     sep = F.substring(m, F.lit(3), F.lit(1))
     date_text = F.when(iso, F.concat_ws("-", y, mo, dd)).when(turned, F.concat_ws("", mo, sep, dd, sep, y)).otherwise(F.concat_ws("", dd, sep, mo, sep, y))
@@ -296,9 +307,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     ``start`` is the finding's place in the original text, in characters from 0.
     """
-    own = [c for c in docs.columns if c == "pii" or c.startswith("__pii_")]
-    if own:
-        raise ValueError(f"the documents use the reserved names {own}")
+    docs, back = packed(docs, (text,))
     t = F.col(f"`{text}`")
     m, gaps, kinds, new = (F.col(f"__pii_{x}") for x in ("m", "gaps", "kinds", "new"))
     staged = docs.withColumns(
@@ -321,15 +330,16 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         F.zip_with(kinds, starts, lambda k, s: F.struct(k.alias("kind"), s.alias("start"))), lambda x: x["kind"].isNotNull()
     )
     changed = {text: F.when(t.isNotNull(), F.when(F.size(m) > 0, joined).otherwise(t)),
-               "pii": F.when(F.size(m) > 0, found).otherwise(F.array().cast("array<struct<kind:string,start:int>>"))}
-    return staged.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns], "pii")
+               "__pii_found": F.when(F.size(m) > 0, found).otherwise(F.array().cast("array<struct<kind:string,start:int>>"))}
+    return staged.withColumns(changed).select(*back("pii"), F.col("__pii_found").alias("pii"))
 
 
 def replace_in(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and ``n_chars`` counted again where something was replaced."""
+    docs, back = packed(docs, ("text", "n_chars"))
     out = pseudonymise(docs, key)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         counted = F.when(F.size("pii") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
         out = out.withColumn("n_chars", counted)
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select(*back())

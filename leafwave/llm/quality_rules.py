@@ -31,6 +31,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leafwave.llm.columns import packed
 from leafwave.llm.common import SPACE, SPACES, WORD, once, words
 
 # -- fixed values ------------------------------------------------------------
@@ -100,9 +101,7 @@ def judge_lines(docs: DataFrame, text: str = "text", rules: Rules = Rules()) ->
     Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_failed_lines, kept_words, base_failed, kept, clean_text.
     """
-    own = [c for c in docs.columns if c == "rules" or c.startswith("__qr_")]
-    if own:
-        raise ValueError(f"the documents use the reserved names {own}")
+    docs, back = packed(docs, (text,))
     t = F.col(f"`{text}`")
     safe = F.coalesce(t, F.lit(""))
     w, lines, windows, placed = (F.col(f"__qr_{x}") for x in ("w", "lines", "windows", "placed"))
@@ -156,7 +155,8 @@ def judge_lines(docs: DataFrame, text: str = "text", rules: Rules = Rules()) ->
         clean.alias("clean_text"),
     )
     # A filter on the verdict must not be pushed down: the steps would be worked out again inside each other.
-    return staged.select(*[F.col(f"`{c}`") for c in docs.columns], once(verdict).alias("rules"))
+    judged = staged.select(*[F.col(f"`{c}`") for c in docs.columns], once(verdict).alias("__qr_verdict"))
+    return judged.select(*back("rules"), F.col("__qr_verdict").alias("rules"))
 
 
 def keep_clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -164,10 +164,11 @@ def keep_clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     Documents that lose no line keep their text as it is.
     """
+    docs, back = packed(docs, ("text", "n_chars"))
     out = judge_lines(docs, rules=rules).where("rules.kept")
     changes = {"text": F.col("rules.clean_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         lost = F.col("rules.n_failed_lines") > 0
         changes["n_chars"] = F.when(lost, F.char_length("rules.clean_text").cast(kind)).otherwise(F.col("n_chars"))
-    return out.withColumns(changes).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.withColumns(changes).select(*back())
