@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from leafwave.functions import sids, signals
@@ -12,6 +14,7 @@ from leafwave.operators import weights as wt
 from leafwave.operators.assign import cached_grid
 from leafwave.operators.assign import assign_cells
 from leafwave.operators.grids import banded_cells, create_grid, grid_stats
+from leafwave.operators.voronoi import voronoi_cells
 from leafwave.plans.base import OBS_SQL, PASSES_SQL, grid_sql, nearest_sql, obs, passes, query, rounded
 from leafwave.plans.retrieval_queries import CELL_OBS_SQL, CELL_PASS_SQL, cell_obs, cell_vod
 
@@ -485,6 +488,12 @@ RECT_GRIDS = {
     radians(10.0::DOUBLE)*(cos(b*radians(10.0::DOUBLE))-cos((b+1)*radians(10.0::DOUBLE))) AS solid_angle FROM range(0, 9) x(b), range(0, 36) y(k))""",
 }
 
+# Golden-spiral centres over the whole sphere, the upper half kept.
+_FIB = 2 * max(10, int(2 * math.pi / math.radians(10.0) ** 2))
+RECT_GRIDS["fibonacci"] = f"""
+  grid AS (SELECT CAST(i AS INT) AS cell_id, acos(1.0::DOUBLE - 2*(i + 0.5::DOUBLE)/{_FIB}) AS theta, fmod(2*pi()*(i + 0.5::DOUBLE)/((1 + sqrt(5.0::DOUBLE))/2), 2*pi()) AS phi,
+    4*pi()/{_FIB} AS solid_angle FROM range({_FIB}) t(i) WHERE acos(1.0::DOUBLE - 2*(i + 0.5::DOUBLE)/{_FIB}) <= pi()/2)"""
+
 for _kind, _res in (("equal_angle", 10.0), ("equirectangular", 10.0), ("htm", 10.0), ("geodesic", 10.0),
                     ("healpix", 10.0), ("fibonacci", 10.0)):
     _sql = None
@@ -499,7 +508,7 @@ for _kind, _res in (("equal_angle", 10.0), ("equirectangular", 10.0), ("htm", 10
     def _coverage(spark, sf, kind=_kind, res=_res):
         """Cells of the grid with their solid angle and the observations nearest to them.
 
-        The triangular, HEALPix and Fibonacci grids have no SQL: the tests
+        The triangular and HEALPix grids have no SQL: the tests
         check their assignment against brute force.
         """
         grid = cached_grid(kind, res)
@@ -508,6 +517,30 @@ for _kind, _res in (("equal_angle", 10.0), ("equirectangular", 10.0), ("htm", 10
         return rounded(cells.join(hits, "cell_id", "left"))
 
 
+@query(
+    "voronoi_containment",
+    WITH_PASSES + "," + RECT_GRIDS["fibonacci"] + "," + nearest_sql("passes", "cells")
+    + " SELECT cell_id, count(*) AS n, count(*) AS n_inside, round(2*pi(),9) AS all_cells FROM cells GROUP BY 1",
+)
+def voronoi_containment(spark, sf):
+    """Observations by nearest centre, how many of them lie inside that cell's outline, and the area of all outlines."""
+    grid = cached_grid("fibonacci", 10.0)
+    cells = voronoi_cells(grid.to_df(spark).select("cell_id", "phi", "theta"))
+    outlines = F.broadcast(cells.select("cell_id", "vertices"))  # at most MAX_CELLS rows
+    rows = assign_cells(passes(spark, sf), grid, out="cell_id").select("cell_id", "phi", "theta").join(outlines, "cell_id")
+    u = [F.sin("theta") * F.cos("phi"), F.sin("theta") * F.sin("phi"), F.cos("theta")]
+
+    def beside(a, i):
+        """Side of the edge from a corner to the next one."""
+        b = F.element_at("vertices", F.pmod(i + 1, F.size("vertices")) + 1)
+        return u[0] * (a[1] * b[2] - a[2] * b[1]) + u[1] * (a[2] * b[0] - a[0] * b[2]) + u[2] * (a[0] * b[1] - a[1] * b[0])
+
+    inside = F.forall(F.transform("vertices", beside), lambda s: s > -1e-9)
+    total = cells.agg(F.round(F.sum("solid_angle"), 9).alias("all_cells"))
+    counts = rows.groupBy("cell_id").agg(F.count("*").alias("n"), F.sum(inside.cast("bigint")).alias("n_inside"))
+    return counts.withColumn("k", F.lit(0)).join(F.broadcast(total.withColumn("k", F.lit(0))), "k").drop("k")
+
+
 @query(
     "grid_equal_area_containment",
     WITH_PASSES + "," + grid_sql() + ", d AS (SELECT DISTINCT phi, theta FROM passes) SELECT g.cell_id, count(*) AS n_directions FROM d JOIN grid g ON d.theta >= g.theta_min AND d.theta < g.theta_max AND d.phi >= g.phi_min AND d.phi < g.phi_max GROUP BY 1",
