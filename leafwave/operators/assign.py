@@ -88,12 +88,17 @@ class SkyBins:
         )
 
     def bin_of(self, theta: Column, phi: Column) -> Column:
-        row = clip(F.floor(theta / F.lit(self.height)).cast("int"), 0, self.rows - 1)
-        n = F.get(F.array(*map(F.lit, self.counts.tolist())), row)
-        first = F.get(F.array(*map(F.lit, self.offsets.tolist())), row)
-        turn = F.pmod(phi, F.lit(TWO_PI))
-        k = F.floor(turn / F.lit(TWO_PI) * n).cast("int")
-        return (first + F.when(k >= n, n - 1).otherwise(k)).cast("int")
+        return bin_column(theta, phi, self.height, self.counts.tolist(), self.offsets.tolist())
+
+
+def bin_column(theta: Column, phi: Column, height: float, counts: list[int], offsets: list[int]) -> Column:
+    """Number of the sky bin of a direction: rows of one height, each cut into ``counts`` bins that start at ``offsets``."""
+    row = clip(F.floor(theta / F.lit(height)).cast("int"), 0, len(counts) - 1)
+    n = F.get(F.array(*map(F.lit, counts)), row)
+    first = F.get(F.array(*map(F.lit, offsets)), row)
+    turn = F.pmod(phi, F.lit(TWO_PI))
+    k = F.floor(turn / F.lit(TWO_PI) * n).cast("int")
+    return (first + F.when(k >= n, n - 1).otherwise(k)).cast("int")
 
 
 def sky_bins(grid: Grid) -> SkyBins:
@@ -161,12 +166,16 @@ def assign_by_table(
     obs: DataFrame, grid: Grid, out: str, theta: str = "theta", phi: str = "phi"
 ) -> DataFrame:
     """The candidate-table path, right for any grid."""
-    bins = sky_bins(grid)
+    return nearest_candidate(obs, sky_bins(grid).bin_of(F.col(theta), F.col(phi)), candidate_table(obs, grid), out, theta, phi)
+
+
+def nearest_candidate(obs: DataFrame, bin_: Column, candidates: DataFrame, out: str, theta: str, phi: str) -> DataFrame:
+    """Nearest of the candidate cells of each row's bin."""
     # At most MAX_BINS rows, whatever the observations number.
-    table = F.broadcast(candidate_table(obs, grid))
+    table = F.broadcast(candidates)
     t, p = F.col(theta), F.col(phi)
     work = (
-        obs.withColumn("__bin", bins.bin_of(t, p))
+        obs.withColumn("__bin", bin_)
         .withColumn("__x", F.sin(t) * F.cos(p))
         .withColumn("__y", F.sin(t) * F.sin(p))
         .withColumn("__z", F.cos(t))

@@ -6,9 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from leafwave.operators import dedup
+from leafwave.operators import dedup, fingerprint, sketches
+from leafwave.operators.assign import cached_grid
 from leafwave.operators.retrieval import calculate_vod
-from leafwave.plans.base import ORACLES, OBS_SQL, obs, query
+from leafwave.plans.base import ORACLES, OBS_SQL, PASSES_SQL, nearest_sql, obs, passes, query
+from leafwave.plans.filter_queries import RECT_GRIDS
 from leafwave.plans.join_queries import KEY, stored_and_incoming
 from leafwave.session import checkpoint_dir
 from leafwave.store import ObservationStore
@@ -51,3 +53,61 @@ def vod_written_twice(spark, sf):
     for _ in range(2):
         store.write_vod(vod, "canopy_sky", "files of the canopy", "files of the sky")
     return store.read("vod_canopy_sky").groupBy("sid").agg(F.count("*").alias("n"), F.round(F.sum("VOD"), 6).alias("sum_vod"))
+
+
+for _kind in ("fibonacci", "equirectangular"):
+
+    @query(
+        f"stored_grid_{_kind}",
+        f"WITH {PASSES_SQL}, {RECT_GRIDS[_kind]}, {nearest_sql('passes', 'cells')} SELECT receiver, cell_id, count(*) AS n, round(avg(SNR),6) AS mean_snr FROM cells GROUP BY 1, 2",
+    )
+    def stored_grid(spark, sf, kind=_kind):
+        """Cells assigned by a grid that was written, and loaded without its builder."""
+        store = _store(spark)
+        store.store_grid(cached_grid(kind, 10.0), "sky")
+        rows = store.load_grid("sky").assign(passes(spark, sf), out="cell_id")
+        return rows.groupBy("receiver", "cell_id").agg(F.count("*").alias("n"), F.round(F.avg("SNR"), 6).alias("mean_snr"))
+
+
+@query(
+    "frozen_output_drift",
+    f"""WITH {OBS_SQL}, d AS (SELECT *, CAST(epoch AS DATE) AS day, receiver = 'canopy' AND day(epoch) = 13 AS gone, sid LIKE 'G%' AND day(epoch) = 7 AS other FROM obs),
+p AS (SELECT day, count(*) AS n_before, count(*) FILTER (NOT gone) AS n_after, bool_or(other) AS other FROM d GROUP BY day)
+SELECT day, v.variable, n_before, n_after, n_before = n_after AND NOT (other AND v.variable = 'SNR') AS same FROM p, (VALUES ('SNR'), ('phi'), ('theta'), ('receiver')) v(variable)""",
+)
+def frozen_output_drift(spark, sf):
+    """An output frozen, and a later one that lost a receiver on some days and has other values on others."""
+    before = obs(spark, sf)
+    path = fingerprint.freeze(before, f"{checkpoint_dir(spark).rstrip('/')}/leafwave-frozen/{uuid.uuid4().hex}", {"run": "first"})
+    day = F.dayofmonth("epoch")
+    after = before.where(~((F.col("receiver") == "canopy") & (day == 13)))
+    after = after.withColumn("SNR", F.when(F.col("sid").startswith("G") & (day == 7), F.col("SNR") + 1).otherwise(F.col("SNR")))
+    return fingerprint.compare_with_frozen(after, path)
+
+
+@query(
+    "daily_sketches_merged",
+    f"WITH {OBS_SQL} SELECT receiver, p AS prob, count(SNR) AS n, round(min(SNR),6) AS least, round(max(SNR),6) AS most, true AS merged_within, true AS direct_within FROM obs, (VALUES "
+    + ", ".join(f"({p}::DOUBLE)" for p in sketches.PROBS)
+    + ") v(p) GROUP BY 1, 2",
+)
+def daily_sketches_merged(spark, sf):
+    """Quantiles from sketches of single days, and from one sketch of all rows: both within twice their error of the wanted rank."""
+    o = obs(spark, sf)
+    kept = sketches.load(spark, sketches.save(sketches.day_sketches(o, ["SNR"], ["receiver"]), f"{checkpoint_dir(spark).rstrip('/')}/leafwave-sketches/{uuid.uuid4().hex}"))
+    probs = F.array(*[F.lit(p) for p in sketches.PROBS])
+    told = sketches.summary(sketches.merged(kept, ["receiver"]))
+    size = sketches.sketch_size(sketches.EPSILON)
+    direct = o.groupBy("receiver").agg(F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("SNR", F.lit(size)), probs).alias("direct"))
+    each = told.join(direct, "receiver").select("receiver", "n", "min", "max", F.inline(F.arrays_zip(probs.alias("prob"), "quantiles", "direct")))
+    # A row per receiver and quantile.
+    met = o.select("receiver", "SNR").join(F.broadcast(each), "receiver")
+    place = lambda c, op: F.sum(op(F.col("SNR"), F.col(c)).cast("bigint")) / F.col("n")
+    tolerance = F.lit(2 * sketches.EPSILON)
+
+    def near(c):
+        return (place(c, lambda x, q: x < q) - tolerance <= F.col("prob")) & (F.col("prob") <= place(c, lambda x, q: x <= q) + tolerance)
+
+    return met.groupBy("receiver", "prob", "n", "min", "max").agg(near("quantiles").alias("merged_within"), near("direct").alias("direct_within")).select(
+        "receiver", "prob", "n", F.round("min", 6).alias("least"), F.round("max", 6).alias("most"), "merged_within", "direct_within"
+    )

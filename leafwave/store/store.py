@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from leafwave.functions.timeutil import between
 from leafwave.operators.dedup import batch_actions, dedup_read, mark_existing, prepare_overwrite, skip_reasons
+from leafwave.operators.grids import Grid
+from leafwave.operators.stored_grid import StoredGrid, load_grid, save_grid
 from leafwave.operators.temporal import resample
 from leafwave.schema import REGISTRY_SCHEMA, nan_to_null
 from leafwave.session import broadcast_checked
@@ -386,6 +388,15 @@ class ObservationStore:
     def load_table(self, kind: str, dataset: str, grid: str, name: str = "default") -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/analysis/{kind}/dataset={dataset}/grid={grid}/name={name}")
 
+    def store_grid(self, grid: Grid, name: str | None = None) -> str:
+        """Write a grid with its sky index; ``load_grid`` gives it back ready to assign."""
+        name = name or grid.name
+        save_grid(self.spark, grid, f"{self.root}/grids/{name}")
+        return name
+
+    def load_grid(self, name: str) -> StoredGrid:
+        return load_grid(self.spark, f"{self.root}/grids/{name}")
+
     def list_tables(self, kind: str) -> DataFrame:
         """(dataset, grid, name) of the stored tables of one kind."""
         try:
