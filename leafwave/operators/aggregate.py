@@ -227,6 +227,29 @@ def radial_distribution(percell: DataFrame, width: float = 5.0) -> DataFrame:
     )
 
 
+def averaged_radial_values(percell: DataFrame, width: float = 5.0, dataset: str = "dataset") -> DataFrame:
+    """``radial_values`` of several datasets together: the polar bins in which every dataset has a cell.
+
+    One row per dataset and cell, long form. ``percell`` carries the dataset's name.
+    """
+    per_cell = percell.groupBy(dataset, "cell").agg(F.avg("cell_timeseries").alias("value"), F.first("cell_theta").alias("cell_theta"))
+    rows = per_cell.where(F.col("value").isNotNull()).withColumn("polar_bin", polar_bin(F.col("cell_theta"), width))
+    rows = rows.where(F.col("polar_bin").isNotNull()).select(
+        dataset, "polar_bin", ((F.col("polar_bin") + F.lit(0.5)) * F.lit(width)).alias("bin_centre"), "cell", "value"
+    )
+    n_sets = percell.select(F.countDistinct(dataset)).scalar()
+    # One row per polar bin.
+    common = rows.groupBy("polar_bin").agg(F.countDistinct(dataset).alias("__n")).where(F.col("__n") == n_sets)
+    return rows.join(F.broadcast(common.select("polar_bin")), "polar_bin", "left_semi")
+
+
+def averaged_radial(percell: DataFrame, width: float = 5.0, dataset: str = "dataset") -> DataFrame:
+    """Mean, population std and number of values per common polar bin over all datasets."""
+    return averaged_radial_values(percell, width, dataset).groupBy("polar_bin", "bin_centre").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("value").alias("n_cells")
+    )
+
+
 TIME_GROUPS = {
     "diurnal": lambda t: F.hour(t),
     "daily": lambda t: F.date_format(t, "yyyy-MM-dd"),

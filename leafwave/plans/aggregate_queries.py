@@ -215,6 +215,27 @@ def radial_values(spark, sf):
     return rounded(agg.radial_values(percell(spark, sf)))
 
 
+@query(
+    "radial_averaged_datasets",
+    CELL_OBS_SQL + f""",
+pc AS (SELECT receiver, c.cell_id AS cell, time_bucket(INTERVAL 15 MINUTE, c.epoch) AS time, avg(SNR) AS v, any_value(degrees(g.theta)) AS cell_theta FROM cells c JOIN grid g USING (cell_id)
+  WHERE NOT (receiver = 'canopy' AND degrees(g.theta) > 62) GROUP BY 1, 2, 3),
+v AS (SELECT receiver, cell, avg(v) AS value, any_value(cell_theta) AS cell_theta FROM pc GROUP BY 1, 2),
+b AS (SELECT receiver, {POLAR} AS polar_bin, value FROM v)
+SELECT polar_bin, (polar_bin+0.5)*5.0::DOUBLE AS bin_centre, round(avg(value),6) AS mean, round(stddev_pop(value),6) AS std, count(*) AS n_cells
+FROM b WHERE polar_bin IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT receiver) = (SELECT count(DISTINCT receiver) FROM pc)""",
+)
+def radial_averaged(spark, sf):
+    """Both receivers' cells together; under the canopy low cells are hidden, so their bins are not common."""
+    rows, grid = cell_obs(spark, sf), grid_df(spark)
+    sets = None
+    for name in ("canopy", "reference"):
+        one = agg.percell_timeseries(rows.where(F.col("receiver") == name), "15min", "SNR", cells=grid).withColumn("dataset", F.lit(name))
+        one = one.where(~((F.col("dataset") == "canopy") & (F.col("cell_theta") > 62)))
+        sets = one if sets is None else sets.unionByName(one)
+    return rounded(agg.averaged_radial(sets))
+
+
 for _group, _expr in (
     ("diurnal", "hour(time)::INT"),
     ("daily", "strftime(time, '%Y-%m-%d')"),
