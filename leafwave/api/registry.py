@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafwave.operators.grids import BUILDERS
 from leafwave.operators.retrieval import CALCULATORS
+from leafwave.session import cut_lineage
 from leafwave.sources.filenames import sniff
+from leafwave.sources.heads import read_heads
 from leafwave.sources.nmea import read_nmea
 from leafwave.sources.products import read_clk, read_sp3
 from leafwave.sources.rinex2 import read_rinex2
@@ -38,12 +41,18 @@ def available(kind: str) -> list[str]:
 
 
 def detect_formats(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """Files of each format, every file judged by its own name and first line; one row per file reaches the driver."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("at"),
-    )
-    heads = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    """Files of each format, every file judged by its own name and first line; one row per file reaches the driver.
+
+    Only the first bytes of each file are read, unless Spark alone can open the store.
+    """
+    try:
+        heads = cut_lineage(read_heads(spark, path))
+    except PySparkException:
+        lines = spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value",
+            F.monotonically_increasing_id().alias("at"),
+        )
+        heads = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
     found: dict[str, list[str]] = {}
     unknown = []
     for row in sniff(heads).select("path", "format").orderBy("path").collect():
