@@ -177,3 +177,32 @@ def test_patterns_lists_and_odd_files(spark, landed, tmp_path):
     assert sbf.epoch_quality(sbf.read_raw(spark, str(tmp_path))).count() == 1
     with pytest.raises(Exception, match="missing"):
         sbf.read_sbf(spark, f"{folder}/missing.sbf").count()
+
+
+def test_small_ranges_share_tasks(landed, monkeypatch):
+    folder, _, size = landed
+    read = lambda reader: [b.to_pylist() for p in reader.partitions() for b in reader.read(p)]
+    want = read(sbf_source.SbfReader({"path": folder, "rangeBytes": "200"}))
+    monkeypatch.setattr(sbf_source, "MIN_TASKS", 4)
+    reader = sbf_source.SbfReader({"path": folder, "rangeBytes": "200"})
+    assert 4 <= len(reader.partitions()) <= 8 < size // 200
+    assert read(reader) == want
+
+
+def test_files_are_decoded_once(spark, landed):
+    folder, _, _ = landed
+    state = sbf.read_blocks(spark, folder, kinds=sbf.STATE).localCheckpoint()
+    raw = sbf.with_state(sbf.read_blocks(spark, folder), state)
+    for query in (sbf.epoch_quality, sbf.signal_quality, sbf.corrected_observations):
+        plan = query(raw)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RelationV2") == 1, query
+
+
+def test_constant_frequency_is_one_span(spark, landed):
+    folder, _, _ = landed
+    spans = sbf.frequency_spans(sbf.read_blocks(spark, f"{folder}/a.sbf", 301)).collect()
+    by = {svid: sorted((r["lo"], -1 if r["hi"] is None else r["hi"], r["freq_nr"]) for r in spans if r["svid"] == svid) for svid in {r["svid"] for r in spans}}
+    assert [len(v) for _, v in sorted(by.items())] == [1, 3]
+    (_, first, late), (start, change, early), (then, end, again) = by.pop(40)
+    assert (late, early, again, end) == (11, 10, 11, -1) and first == start < change == then
+    assert [x[:2] for x in next(iter(by.values()))] == [(-1, -1)]
