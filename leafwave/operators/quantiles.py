@@ -2,10 +2,11 @@
 
 ``percentile`` keeps every distinct value of a group in one reducer. That is
 fine for ordinary groups, and the map side already combines them. A group
-past ``hot_rows`` is split instead: an approximate sketch proposes cut points,
-exact counts per (group, slice) locate the slice that holds each wanted rank,
-and only that slice is sorted. The sketch only balances the slices; ranks are
-counted exactly, so the answer does not depend on its error.
+past ``hot_rows`` is split instead: equal values are counted, an approximate
+sketch of the different ones proposes cut points, exact counts per (group, slice)
+locate the slice that holds each wanted rank, and only that slice is sorted. The
+sketch only balances the slices; ranks are counted exactly, so the answer does
+not depend on its error.
 """
 
 from __future__ import annotations
@@ -18,39 +19,32 @@ HOT_ROWS = 5_000_000
 ARRAY_ROWS = 200_000
 MAX_HOT_KEYS = 50_000
 SLICES = 1024
-_STRIDE = 32
 
 
-def _slice_index(value: Column, cuts: Column) -> Column:
-    """Number of cut points below ``value``: a coarse, then a fine search."""
-    coarse = F.filter(F.col("__coarse"), lambda c: c < value)
-    start = F.size(coarse) * F.lit(_STRIDE)
-    fine = F.filter(F.slice(cuts, start + 1, F.lit(_STRIDE)), lambda c: c < value)
-    return start + F.size(fine)
+def _slice_index(value: Column, cuts: Column, slices: int) -> Column:
+    """Number of cut points below ``value``, by halving."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(slices.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when(F.get(cuts, n + s - 1) < value, n + s).otherwise(n))
 
 
 def _hot_quantiles(
     df: DataFrame, keys: list[str], value: str, probs: Sequence[float], slices: int
 ) -> DataFrame:
+    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
     fractions = [i / slices for i in range(1, slices)]
-    cuts = df.groupBy(keys).agg(
+    cuts = counted.groupBy(*keys).agg(
         F.percentile_approx(value, fractions, 10 * slices).alias("__cuts"),
-        F.count(F.lit(1)).alias("__n"),
-    )
-    # Every stride-th cut: __coarse[i] is the last cut of stride i.
-    cuts = cuts.withColumn(
-        "__coarse",
-        F.filter("__cuts", lambda c, i: F.pmod(i + 1, F.lit(_STRIDE)) == 0),
+        F.sum("__c").alias("__n"),
     )
-    tagged = df.join(cuts.drop("__n"), keys).withColumn(
-        "__slice", _slice_index(F.col(value), F.col("__cuts"))
-    )
-    tagged = tagged.select(*keys, value, "__slice")
+    # The whole table is one key, whose rows no shuffle by key would spread.
+    near = F.broadcast(cuts) if keys == ["__all"] else cuts
+    tagged = counted.join(near.drop("__n"), keys).withColumn("__slice", _slice_index(F.col(value), F.col("__cuts"), slices))
+    tagged = tagged.select(*keys, value, "__c", "__slice")
 
     ordered = Window.partitionBy(*keys).orderBy("__slice")
     sizes = (
         tagged.groupBy(*keys, "__slice")
-        .count()
+        .agg(F.sum("__c").alias("count"))
         .withColumn("__before", F.sum("count").over(ordered) - F.col("count"))
     )
     position = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
@@ -68,13 +62,7 @@ def _hot_quantiles(
 
     inside = Window.partitionBy(*keys, "__slice").orderBy(value)
     picked = (
-        tagged.join(wanted, [*keys, "__slice"])
-        .groupBy(*keys, "__slice", value)
-        .agg(
-            F.count(F.lit(1)).alias("__c"),
-            F.first("__before").alias("__before"),
-            F.first("__ranks").alias("__ranks"),
-        )
+        tagged.join(F.broadcast(wanted), [*keys, "__slice"])
         .withColumn("__hi", F.col("__before") + F.sum("__c").over(inside))
         .withColumn(
             "__ranks",
@@ -149,6 +137,8 @@ def group_quantiles(
     )
     if hot is None:
         result = plain(rows)
+    elif whole:
+        result = _hot_quantiles(rows, keys, value, probs, slices)
     else:
         result = plain(rows.join(hot, keys, "left_anti")).unionByName(
             _hot_quantiles(rows.join(hot, keys), keys, value, probs, slices)

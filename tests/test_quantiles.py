@@ -70,3 +70,11 @@ def test_sketch_quantiles_keep_their_rank_error(data):
             rank = p * len(values)
             slack = 0.01 * len(values) + 1
             assert low - slack <= rank <= high + slack
+
+
+def test_hot_whole_table_is_counted_by_value_once(spark):
+    pdf = pd.DataFrame({"v": [float(i % 7) for i in range(3000)] + [100.0]})
+    out = group_quantiles(spark.createDataFrame(pdf), [], "v", [0.05, 0.25, 0.5, 1.0], hot_rows=100, slices=64)
+    assert out.first()["q"] == pytest.approx(list(np.quantile(pdf["v"], [0.05, 0.25, 0.5, 1.0])), abs=1e-12)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "rightHint=(strategy=broadcast)" in plan
