@@ -9,11 +9,14 @@ the log-probabilities of all its words, each given its neighbours.
 
 Word counts cover every document, and the vocabulary is every word that occurs
 ``least`` times, so it grows with the corpus; it stays a table, which is joined
-to the words of the texts and never collected. Rarer words share what their
+to the words of the texts and never collected. Only the ``LISTED`` most frequent
+words, a number that does not grow, are sent to the tasks with their shares, so
+that the join meets what is left of the texts. Rarer words share what their
 class gives to rare ones, evenly and with one share for words never seen; counts
-are smoothed by ``add``. Training predicts every word of every
-document: each of the ``rounds`` rounds masks one place in ``mask``, and the
-places take turns. The texts are dealt by a hash to one copy of the network per
+are smoothed by ``add``. Texts are read twice, to count their words and to turn
+them into classes; both passes of the network read the classes. Training
+predicts every word of every document: each of the ``rounds`` rounds masks one
+place in ``mask``, and the places take turns. The texts are dealt by a hash to one copy of the network per
 ``copy_words`` words and sorted there, so what is learnt does not depend on how
 the input is cut into files. Each copy trains in numpy, starting from common
 parameters, and the copies are averaged by their number of words; so the work,
@@ -27,8 +30,9 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +41,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leafwave.llm.common import kept_in_worker, only, saved, words
 
+#: Words with a hashed class whose share goes to the tasks; the others meet theirs in a join.
+LISTED = 1 << 16
+
 
 @dataclass(frozen=True)
 class Network:
@@ -89,13 +96,21 @@ class Network:
         return out
 
 
+def class_type(net: Network) -> type:
+    """The smallest type of integers that holds the classes."""
+    return np.uint8 if net.words <= 256 else np.uint16 if net.words <= 65_536 else np.uint32
+
+
 class WordIds(dict):
     def __init__(self, own: dict[bytes, int], net: Network):
         super().__init__(own)
         self.own, self.net = own, net
 
+    def hashed(self, word: bytes) -> int:
+        return self.net.frequent + zlib.crc32(word) % self.net.hashed
+
     def __missing__(self, word: bytes) -> int:
-        at = self.net.frequent + zlib.crc32(word) % self.net.hashed
+        at = self.hashed(word)
         if len(word) <= 40:
             if len(self) >= 400_000:
                 self.clear()
@@ -104,24 +119,40 @@ class WordIds(dict):
         return at
 
 
-def remembered_ids(own: dict[bytes, int], net: Network) -> WordIds:
-    """The worker's ids for this vocabulary."""
-    return kept_in_worker(f"word ids {zlib.crc32(repr((net, own)).encode())} {hash((net, frozenset(own.items())))}", lambda: WordIds(own, net))
+class Places(WordIds):
+    """Places of words in ``classes`` and ``parts``; words that are not listed share the last ``hashed`` ones."""
+
+    def __init__(self, own: dict[bytes, int], shares: dict[bytes, float], net: Network):
+        listed = [*sorted(own, key=own.__getitem__), *shares]
+        super().__init__(dict(zip(listed, range(len(listed)))), net)
+        self.listed = len(listed)
+        hashed = [net.frequent + zlib.crc32(w) % net.hashed for w in shares]
+        self.classes = np.array([*range(len(own)), *hashed, *range(net.frequent, net.words)], class_type(net))
+        self.parts = np.array([0.0] * len(own) + list(shares.values()) + [0.0] * net.hashed)
+
+    def hashed(self, word: bytes) -> int:
+        return self.listed + zlib.crc32(word) % self.net.hashed
+
+
+def padded(classes: np.ndarray, net: Network) -> np.ndarray:
+    """A text's classes with ``side`` edge marks around."""
+    out = np.full(len(classes) + 2 * net.side, net.words, np.int32)
+    out[net.side : net.side + len(classes)] = classes
+    return out
 
 
 def padded_ids(text: str | None, ids: WordIds, net: Network) -> np.ndarray:
-    """A lower-case text's classes with ``side`` edge marks around; bytes split at the same separators as ``words``."""
+    """A lower-case text's padded classes; bytes split at the same separators as ``words``."""
     found = text.encode().split() if isinstance(text, str) else []
-    out = np.full(len(found) + 2 * net.side, net.words, np.int32)
-    out[net.side : net.side + len(found)] = np.fromiter(map(ids.__getitem__, found), np.int32, len(found))
-    return out
+    return padded(np.fromiter(map(ids.__getitem__, found), np.int32, len(found)), net)
 
 
-def hidden_of(near: np.ndarray, embed: np.ndarray) -> np.ndarray:
-    h = embed[0][near[0]]
-    for i in range(1, len(near)):
-        h = h + embed[i][near[i]]
-    return np.tanh(h)
+def hidden_of(near: Sequence[np.ndarray], embed: np.ndarray) -> np.ndarray:
+    """The hidden layer; rows of ``embed`` hold one place's classes after the other's, and ``near`` numbers them through."""
+    h = embed.take(near[0], axis=0)
+    for at in near[1:]:
+        h += embed.take(at, axis=0)
+    return np.tanh(h, out=h)
 
 
 def masked(n: int, turn: int, net: Network) -> np.ndarray:
@@ -131,38 +162,48 @@ def masked(n: int, turn: int, net: Network) -> np.ndarray:
 
 def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net: Network, turn: int) -> tuple[np.ndarray, int]:
     """Parameters after one pass over the masked words of ``texts``, and the number of words seen."""
+    return train_padded((padded_ids(text, ids, net) for text in texts), flat, net, turn)
+
+
+def train_padded(texts: Iterable[np.ndarray], flat: np.ndarray, net: Network, turn: int) -> tuple[np.ndarray, int]:
+    """``train_part`` of texts that are padded classes."""
     flat = flat.copy()
-    embed, out, bias = net.split(flat)
+    embed = net.split(flat)[0].reshape(-1, net.hidden)
+    # Weights with the bias below them, so that one product takes both.
+    top = flat[embed.size :].reshape(net.hidden + 1, net.words)
     squares = np.full(net.size, 1e-3, np.float32)
-    s_embed, s_out, s_bias = net.split(squares)
+    s_embed, s_top = squares[: embed.size].reshape(embed.shape), squares[embed.size :].reshape(top.shape)
+    bound = np.full((net.hidden + 1, 1), 4, np.float32)
+    bound[-1] = 12
     rng = np.random.default_rng((net.seed, turn))
     waiting: list[np.ndarray] = []
     held, seen = 0, 0
     firsts = np.arange(2 * net.side)[:, None] * (net.words + 1)
+    cells, ones = np.arange(embed.size).reshape(embed.shape), np.ones(net.words, np.float32)
 
     def step(block: np.ndarray) -> None:
-        near, word = block[:-1], block[-1]
+        near, word = block[:-1] + firsts, block[-1]
         n = len(word)
-        h = hidden_of(near, embed)
-        z = h @ out + bias
-        z -= z.max(axis=1, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(n), word] -= 1
-        p /= n
-        g_out, g_bias = h.T @ p, p.sum(axis=0)
-        back = (p @ out.T) * (1 - h * h)
-        at = ((near + firsts)[:, :, None] * net.hidden + np.arange(net.hidden)).ravel()
-        g = np.bincount(at, np.broadcast_to(back, (len(near), *back.shape)).ravel(), embed.size).astype(np.float32).reshape(embed.shape)
+        h = np.ones((n, net.hidden + 1), np.float32)
+        h[:, :-1] = hidden_of(near, embed)
+        p = h @ top
+        np.exp(p, out=p)  # weights are clipped, so this stays finite
+        # Not normalised: the narrow factors of the products are scaled instead.
+        sums = p @ ones
+        p[np.arange(n), word] -= sums
+        per = 1 / (n * sums)[:, None]
+        g_top = (p.T @ (h * per)).T
+        h = h[:, :-1]
+        back = (p @ top[:-1].T) * per * (1 - h * h)
+        g = np.zeros(embed.size, np.float32)
+        np.add.at(g, cells.take(near, axis=0).ravel(), np.broadcast_to(back, (len(near), *back.shape)).ravel())
+        g = g.reshape(embed.shape)
         s_embed[:] += g * g
         embed[:] -= net.rate * g / np.sqrt(s_embed)
-        s_out[:] += g_out * g_out
-        out[:] = np.clip(out - net.rate * g_out / np.sqrt(s_out), -4, 4)
-        s_bias[:] += g_bias * g_bias
-        bias[:] = np.clip(bias - net.rate * g_bias / np.sqrt(s_bias), -12, 12)
+        s_top[:] += g_top * g_top
+        top[:] = np.clip(top - net.rate * g_top / np.sqrt(s_top), -bound, bound)
 
-    for text in texts:
-        x = padded_ids(text, ids, net)
+    for x in texts:
         n = len(x) - 2 * net.side
         if not n:
             continue
@@ -186,16 +227,20 @@ def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net:
     return flat, seen
 
 
-def log_probabilities(x: np.ndarray, parts: list[np.ndarray], net: Network, block: int = 2048) -> float:
+def log_probabilities(x: np.ndarray, parts: list[np.ndarray], net: Network, block: int = 512) -> float:
     """Sum over all words of one padded text."""
     embed, out, bias = parts
+    embed, ones = embed.reshape(-1, net.hidden), np.ones(net.words, np.float32)
     n, total = len(x) - 2 * net.side, 0.0
+    near = [x[net.side + p : net.side + p + n] + i * (net.words + 1) for i, p in enumerate(net.places)]
+    own = x[net.side : net.side + n]
     for start in range(0, n, block):
-        at = np.arange(start, min(start + block, n)) + net.side
-        z = hidden_of(np.stack([x[at + p] for p in net.places]), embed) @ out + bias
-        own = z[np.arange(len(at)), x[at]]
+        at = slice(start, start + block)
+        z = hidden_of([w[at] for w in near], embed) @ out
+        z += bias
+        chosen = z[np.arange(len(z)), own[at]]
         np.exp(z, out=z)  # weights are clipped, so this stays finite
-        total += float((own - np.log(z.sum(axis=1))).sum(dtype=np.float64))
+        total += float((chosen - np.log(z @ ones)).sum(dtype=np.float64))
     return total
 
 
@@ -214,38 +259,86 @@ def _hashed(word: Column, own: dict[bytes, int]) -> Column:
     return ~word.isin([w.decode() for w in own]) if own else F.lit(True)
 
 
-def within_class(rows: DataFrame, counts: DataFrame, own: dict[bytes, int], net: Network) -> DataFrame:
-    """(row, within): the sum of log P(word | class) over a text's words; words with a class of their own add 0 and are left out."""
-    of = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(net.hashed)).cast("int")
+def word_shares(counts: DataFrame, own: dict[bytes, int], net: Network) -> tuple[DataFrame, DataFrame]:
+    """(class, whole, of_rare) and (word, of_word, n): log P(word | class) is ``of_word``, or ``of_rare`` of a rarer word, less ``whole``."""
     usual, rare = F.col("n") >= net.least, F.col("n") < net.least
-    sizes = counts.where(_hashed(F.col("word"), own)).groupBy(of.alias("class")).agg(
+    sizes = counts.where(_hashed(F.col("word"), own)).groupBy(_class(F.col("word"), net).alias("class")).agg(
         F.sum("n").alias("all"), F.count_if(usual).alias("usual"),
         F.coalesce(F.sum(F.when(rare, F.col("n"))), F.lit(0)).alias("rest"), F.count_if(rare).alias("rare"),
     )
     whole = F.col("all") + net.add * (F.col("usual") + 1)
-    shares = sizes.select("class", F.log(whole).alias("whole"), F.log((F.col("rest") + net.add) / (F.col("rare") + 1)).alias("of_rare"))
-    known = counts.where(usual).select("word", F.log(F.col("n") + net.add).alias("of_word")).hint("shuffle_hash")
-    each = rows.select("row", F.explode(words(F.col("text"))).alias("word")).where(_hashed(F.col("word"), own))
-    each = each.join(known, "word", "left").withColumn("class", of).join(F.broadcast(shares), "class", "left")
-    return each.groupBy("row").agg(F.sum(F.coalesce("of_word", "of_rare") - F.col("whole")).alias("within"))
+    of_class = sizes.select("class", F.log(whole).alias("whole"), F.log((F.col("rest") + net.add) / (F.col("rare") + 1)).alias("of_rare"))
+    return saved(of_class), counts.where(usual).select("word", F.log(F.col("n") + net.add).alias("of_word"), "n")
+
+
+def _class(word: Column, net: Network) -> Column:
+    """Which of the hashed classes, from 0."""
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(net.hashed)).cast("int")
+
+
+def listed_shares(of_class: DataFrame, of_words: DataFrame, own: dict[bytes, int], net: Network) -> dict[bytes, float]:
+    """log P(word | class) of the most frequent words with a hashed class, ``LISTED`` at most."""
+    top = of_words.where(_hashed(F.col("word"), own) & (F.char_length("word") <= 40)).orderBy(F.desc("n"), "word").limit(LISTED)
+    top = top.withColumn("class", _class(F.col("word"), net)).join(F.broadcast(of_class), "class")
+    return {r["word"].encode(): r["part"] for r in top.select("word", (F.col("of_word") - F.col("whole")).alias("part")).collect()}
+
+
+def coded(docs: DataFrame, own: dict[bytes, int], shares: dict[bytes, float], net: Network) -> DataFrame:
+    """(deal, row, doc_id, n_words, classes, within, others) of lower-case texts.
+
+    ``within`` sums the shares of the listed words; ``others`` are the words
+    that are neither listed nor have a class of their own, with a space between.
+    """
+    shipped, run = docs.sparkSession.sparkContext.broadcast((own, shares)), uuid.uuid4().hex
+
+    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = kept_in_worker("words of lm_score", dict)
+        if run not in held:
+            held.clear()
+            held[run] = Places(*shipped.value, net)
+        places = held[run]
+        for batch in batches:
+            out = []
+            for text in batch["text"]:
+                found = text.encode().split() if isinstance(text, str) else []
+                at = np.fromiter(map(places.__getitem__, found), np.int32, len(found))
+                others = b" ".join([found[i] for i in np.flatnonzero(at >= places.listed).tolist()])
+                out.append((len(found), places.classes[at].tobytes(), float(places.parts[at].sum()), others.decode()))
+            more = pd.DataFrame(out, columns=["n_words", "classes", "within", "others"], index=batch.index)
+            yield pd.concat([batch[["deal", "row"]], batch["doc_id"].astype("Int64"), more], axis=1)
+
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("deal"), F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    return saved(rows.mapInPandas(code, "deal long, row long, doc_id long, n_words long, classes binary, within double, others string"))
+
+
+def within_others(codes: DataFrame, of_class: DataFrame, of_words: DataFrame, net: Network) -> DataFrame:
+    """(row, more): the sum of log P(word | class) over a text's words that are not listed."""
+    each = codes.where("others <> ''").select("row", F.explode(F.split("others", " ")).alias("word"))
+    each = each.join(of_words.select("word", "of_word").hint("shuffle_hash"), "word", "left").withColumn("class", _class(F.col("word"), net))
+    each = each.join(F.broadcast(of_class), "class", "left")
+    return each.groupBy("row").agg(F.sum(F.coalesce("of_word", "of_rare") - F.col("whole")).alias("more"))
 
 
 def train(docs: DataFrame, own: dict[bytes, int], net: Network, n_words: int) -> np.ndarray:
+    """``train_coded`` of lower-case texts (doc_id, text)."""
+    return train_coded(coded(docs, own, {}, net), net, n_words)
+
+
+def train_coded(codes: DataFrame, net: Network, n_words: int) -> np.ndarray:
     """Parameters averaged over the copies that the partitions train; ``n_words`` is the corpus's number of words."""
-    deal = F.xxhash64("doc_id", "text")
-    docs = docs.select("doc_id", "text", deal.alias("deal")).repartition(max(1, -(-n_words // net.copy_words)), "deal")
-    docs = docs.sortWithinPartitions("deal", "doc_id", "text")
+    codes = codes.select("deal", "doc_id", "classes").repartition(max(1, -(-n_words // net.copy_words)), "deal")
+    codes = codes.sortWithinPartitions("deal", "doc_id", "classes")
     flat = net.start()
     for turn in range(net.rounds):
-        shipped = docs.sparkSession.sparkContext.broadcast(flat)
+        shipped = codes.sparkSession.sparkContext.broadcast(flat)
 
         def fit(batches: Iterator[pd.DataFrame], shipped=shipped, turn=turn) -> Iterator[pd.DataFrame]:
-            texts = (t for batch in batches for t in batch["text"])
-            trained, seen = train_part(texts, shipped.value, remembered_ids(own, net), net, turn)
+            texts = (padded(np.frombuffer(c, class_type(net)), net) for batch in batches for c in batch["classes"])
+            trained, seen = train_padded(texts, shipped.value, net, turn)
             if seen:
                 yield pd.DataFrame({"seen": [seen], "value": [trained]})
 
-        copies = docs.select("text").mapInPandas(fit, "seen long, value array<float>")
+        copies = codes.select("classes").mapInPandas(fit, "seen long, value array<float>")
         mass = F.sum(F.col("v") * F.col("seen")) / F.sum("seen")
         mean = copies.select("seen", F.posexplode("value").alias("at", "v")).groupBy("at").agg(mass.alias("v"))
         flat = flat.copy()
@@ -257,22 +350,21 @@ def train(docs: DataFrame, own: dict[bytes, int], net: Network, n_words: int) ->
 def score(docs: DataFrame, net: Network = Network()) -> DataFrame:
     """(doc_id, n_words, log_likelihood, mean_log_prob) of every document."""
     docs = only(docs, doc_id="doc_id", text="text").select("doc_id", F.lower("text").alias("text"))
-    docs = saved(docs.withColumn("row", F.monotonically_increasing_id()))
     counts = word_counts(docs)
     own = frequent_words(counts, net)
     n_words = counts.agg(F.sum("n")).first()[0] or 0
-    shipped = docs.sparkSession.sparkContext.broadcast(train(docs, own, net, n_words))
+    of_class, of_words = word_shares(counts, own, net)
+    codes = coded(docs, own, listed_shares(of_class, of_words, own, net), net)
+    shipped = docs.sparkSession.sparkContext.broadcast(train_coded(codes, net, n_words))
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, parts = remembered_ids(own, net), net.split(shipped.value)
+        parts = net.split(shipped.value)
         for batch in batches:
-            n, total = np.empty(len(batch), np.int64), np.empty(len(batch))
-            for i, text in enumerate(batch["text"]):
-                x = padded_ids(text, ids, net)
-                n[i], total[i] = len(x) - 2 * net.side, log_probabilities(x, parts, net)
-            yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_words": n, "of_classes": total})
-
-    scored = docs.mapInPandas(apply, "row long, doc_id long, n_words long, of_classes double")
-    scored = scored.join(within_class(docs, counts, own, net), "row", "left")
-    scored = scored.select("doc_id", "n_words", (F.col("of_classes") + F.coalesce("within", F.lit(0.0))).alias("log_likelihood"))
+            of_classes = [log_probabilities(padded(np.frombuffer(c, class_type(net)), net), parts, net) for c in batch["classes"]]
+            out = batch[["row", "n_words"]].assign(total=np.array(of_classes, float) + batch["within"])
+            yield out.assign(doc_id=batch["doc_id"].astype("Int64"))[["row", "doc_id", "n_words", "total"]]
+
+    scored = codes.select("row", "doc_id", "n_words", "classes", "within").mapInPandas(apply, "row long, doc_id long, n_words long, total double")
+    scored = scored.join(within_others(codes, of_class, of_words, net), "row", "left")
+    scored = scored.select("doc_id", "n_words", (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
     return scored.withColumn("mean_log_prob", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))

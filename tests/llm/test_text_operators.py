@@ -365,6 +365,22 @@ def test_lm_training_predicts_every_word_whatever_the_layout(spark):
     assert one.keys() == many.keys() and all(abs(one[i] - many[i]) < 1e-3 * abs(one[i]) for i in one)
 
 
+def test_lm_keeps_classes_instead_of_texts_and_joins_only_words_not_listed(spark, monkeypatch):
+    docs = spark.createDataFrame(lm_corpus(), "doc_id long, text string")
+    written, saved = [], lm_score.saved
+    monkeypatch.setattr(lm_score, "saved", lambda df: written.append(saved(df)) or written[-1])
+    scores = []
+    for listed in (lm_score.LISTED, 40, 0):
+        monkeypatch.setattr(lm_score, "LISTED", listed)
+        scores.append(sorted((r["doc_id"] or -1, r["log_likelihood"]) for r in lm_score.score(docs).collect()))
+    assert not any("text" in df.columns for df in written)
+    left = [sum(len(r["others"].split()) for r in df.collect()) for df in written if "others" in df.columns]
+    n = collections.Counter(w for _, t in lm_corpus() for w in re.findall("[^\x20\x09-\x0d]+", t.lower()))
+    assert left[0] == sum(k for k in n.values() if k < lm_score.Network().least) < left[1] < left[2]
+    for other in scores[1:]:
+        assert all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-9 * abs(a[1]) + 1e-9 for a, b in zip(scores[0], other))
+
+
 def test_lm_small_part_steps_per_batch():
     net, ids = lm_score.Network(), lm_score.WordIds({b"a": 0, b"b": 1}, lm_score.Network())
     flat = net.start()
