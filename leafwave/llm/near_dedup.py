@@ -212,8 +212,11 @@ def merge_classes(names: DataFrame, links: DataFrame) -> DataFrame:
 
 def similar(pairs: DataFrame, cells: DataFrame, least: float) -> DataFrame:
     """The rows of ``pairs`` (a, b) of texts whose exact weighted Jaccard similarity is at least ``least``."""
-    left = cells.select(F.col("node").alias("a"), F.col("cells").alias("ca"))
-    right = cells.select(F.col("node").alias("b"), F.col("cells").alias("cb"))
+    # Elements are wide: few but those of the texts in a pair go into a shuffle. The joins are what decides.
+    asked = bloom_blocks(pairs.select(F.explode(F.array("a", "b")).alias("key")))
+    near = possible(cells.select(F.col("node").alias("key"), "cells"), asked)
+    left = near.select(F.col("key").alias("a"), F.col("cells").alias("ca"))
+    right = near.select(F.col("key").alias("b"), F.col("cells").alias("cb"))
     both = pairs.join(left, "a").join(right, "b")
     # common / (all - common) >= least, with common named once: it is dear
     enough = F.size(F.array_intersect("ca", "cb")) * F.lit(1 + least) >= F.lit(least) * (F.size("ca") + F.size("cb")) - F.lit(1e-9)

@@ -170,6 +170,16 @@ def test_large_group_around_one_original(spark):
     assert {r["class_id"] for r in near_dedup.classes(docs).collect()} == {0}
 
 
+def test_only_texts_in_a_pair_send_their_elements(spark, monkeypatch):
+    sent, possible = [], near_dedup.possible
+    monkeypatch.setattr(near_dedup, "possible", lambda *a: sent.append(possible(*a)) or sent[-1])
+    cells = spark.createDataFrame([(bytes([i // 256, i % 256]), list(range(i, i + 40))) for i in range(600)], "node binary, cells array<int>")
+    pairs = spark.createDataFrame([(bytes([0, 1]), bytes([0, k])) for k in (2, 4, 9)], "a binary, b binary")
+    got = {bytes(r["b"])[1] for r in near_dedup.similar(pairs, cells, 0.8).collect()}
+    assert got == {2, 4}  # 39, 37 and 32 elements in common, of 41, 43 and 48
+    assert len(sent) == 1 and sent[0].count() < 10
+
+
 # -- search -----------------------------------------------------------------------
 
 
