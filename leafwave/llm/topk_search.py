@@ -8,16 +8,18 @@ becomes a tree of pages. An inner page holds routing objects with covering
 radii and their distances to the page's own routing object; a leaf holds
 vectors with those distances.
 
-A search keeps a queue of pages by the least distance anything below them can
-have. At a page it first bounds each entry by the triangle inequality from the
-stored distance, and computes true distances or scores only for entries that
-may still matter. It ends when the nearest page is farther than the k-th best.
-Bounds carry slack for rounding, scores are exact 64-bit integers, and ties go
-to the smaller id, so the answer is that of comparing with every vector.
-
 Queries come in blocks too; each pair of a tree and a query block is one group,
-bounded on both sides. A window over the few candidates per query and tree
-ranks them. Nothing is collected or broadcast.
+bounded on both sides. Every query has its own queue of leaves by the least
+distance anything in them can have, which the routing objects above them give.
+The queries of a block go through their queues together: each round takes the
+next leaves of every queue, twice as many as the round before, and a leaf meets
+all queries that want it then in one product. Of a leaf's vectors, sorted by
+their stored distances, only those are scored that the triangle inequality
+leaves to one of these queries. A query ends when its next leaf is farther than
+its k-th best. Bounds carry slack for rounding, scores are exact 64-bit integers,
+and ties go to the smaller id, so the answer is that of comparing with every
+vector. A window over the few candidates per query and tree ranks them. Nothing
+is collected or broadcast.
 
 Vectors that are null, hold null or non-finite components, or components whose
 integer is no 64-bit one take no part, nor do rows with null id. Vectors of
@@ -29,7 +31,6 @@ fewer candidates than k all are returned; an empty table gives an empty one.
 
 from __future__ import annotations
 
-import heapq
 import pickle
 from dataclasses import dataclass
 
@@ -40,6 +41,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from leafwave.llm.common import only, saved
 
 SCALE = 1024.0
+#: Candidates of a query block that are held before they are ranked.
+HELD = 1 << 20
+#: Pairs of a query and a page whose bounds are held at once.
+BOUNDS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -87,7 +92,8 @@ class MTree:
         self.pages.append({})
         away = distances(self._points[rows], router)
         if len(rows) <= self.page:
-            self.pages[at] = {"ids": self._ids[rows], "vectors": self._vectors[rows], "away": away}
+            order = np.argsort(away, kind="stable")
+            self.pages[at] = {"ids": self._ids[rows[order]], "vectors": self._vectors[rows[order]], "away": away[order]}
             return at
         # Routing objects are spread over the distances to the page's own.
         chosen = rows[np.argsort(away, kind="stable")[np.linspace(0, len(rows) - 1, self.fan).astype(int)]]
@@ -106,40 +112,96 @@ class MTree:
         }
         return at
 
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the ``k`` best, best first."""
-        width = min(len(query), self.width)
-        short = query[:width]
-        point = np.zeros(self.width + 1)
-        point[:width] = short
-        base = float((point**2).sum()) + self.reach
-        slack = 1e-9 * np.sqrt(base) + 1e-6
-        ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        limit = np.inf
-        queue = [(0.0, self.root, float(np.sqrt(((self.centre - point) ** 2).sum())))]
-        while queue:
-            least, at, to_router = heapq.heappop(queue)
-            if least > limit:
-                break
+    def leaves(self, points: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+        """The leaves, and per point the least distance of anything in them and bounds of the distance to their routers."""
+        squares = (points**2).sum(axis=1)
+        # Of a squared distance that is worked out from a product.
+        rounding = 4 * (points.shape[1] + 8) * np.finfo(float).eps
+
+        def between(routers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            sums = squares[:, None] + (routers**2).sum(axis=1)
+            d = sums - 2 * (points @ routers.T)
+            return np.sqrt(np.maximum(d - rounding * sums, 0)), np.sqrt(np.maximum(d + rounding * sums, 0))
+
+        found: list[tuple] = []
+        near, far = between(self.centre[None, :])
+        open_pages = [(self.root, np.zeros(len(points)), near[:, 0], far[:, 0])]
+        while open_pages:
+            at, least, near, far = open_pages.pop()
             page = self.pages[at]
-            if "below" in page:
-                maybe = np.flatnonzero(np.abs(to_router - page["away"]) - page["radii"] <= limit)
-                d = distances(page["routers"][maybe], point)
-                lower = np.maximum(d - page["radii"][maybe] - slack, least)
-                for i, low, dist in zip(maybe.tolist(), lower.tolist(), d.tolist()):
-                    if low <= limit:
-                        heapq.heappush(queue, (low, page["below"][i], dist))
+            if "below" not in page:
+                found.append((at, least, near, far))
                 continue
-            maybe = np.flatnonzero((np.abs(to_router - page["away"]) - slack <= limit) & (page["ids"] != own))
-            if not len(maybe):
-                continue
-            ids = np.concatenate([ids, page["ids"][maybe]])
-            scores = np.concatenate([scores, page["vectors"][maybe, :width] @ short])
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-            if len(ids) == k:
-                limit = np.sqrt(max(base - 2.0 * float(scores[-1]), 0.0)) + slack
-        return ids, scores
+            near, far = between(page["routers"])
+            lower = np.maximum(near - page["radii"], least[:, None])
+            open_pages += [(page["below"][i], lower[:, i], near[:, i], far[:, i]) for i in range(len(page["below"]))]
+        at, *bounds = zip(*found)
+        return list(at), *[np.stack(x, axis=1) for x in bounds]
+
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of queries, ids and scores of the ``k`` best of each."""
+        most = max(1, BOUNDS // len(self.pages))
+        if len(queries) > most:
+            parts = [(i, self.search(queries[i : i + most], own[i : i + most], k)) for i in range(0, len(queries), most)]
+            return tuple(np.concatenate(x) for x in zip(*[(who + i, ids, scores) for i, (who, ids, scores) in parts]))
+        width, n = self.width, len(queries)
+        rows = np.zeros((n, width), np.int64)
+        rows[:, : min(width, queries.shape[1])] = queries[:, :width]
+        points = np.hstack([rows.astype(np.float64), np.zeros((n, 1))])
+        lengths = (points**2).sum(axis=1)
+        base = lengths + self.reach
+        slack = 1e-9 * np.sqrt(base) + 1e-6
+        rounding = 4 * (width + 9) * np.finfo(float).eps * base
+        # While all sums are integers that a double holds, its products are exact.
+        exact = np.float64 if np.sqrt(lengths.max() * self.reach) < 2.0**52 else np.int64
+        rows = rows.astype(exact)
+        at, least, near, far = self.leaves(points)
+        least = least - slack[:, None]
+        queue = np.argsort(least, axis=1, kind="stable")
+        limit = np.full(n, np.inf)
+        worst, worst_id = np.full(n, np.iinfo(np.int64).min), np.full(n, np.iinfo(np.int64).max)
+        held = [(np.zeros(0, np.int64),) * 3]
+        waiting = 0
+
+        def rank() -> None:
+            nonlocal held, waiting
+            who, ids, scores = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((ids, -scores, who))
+            who, ids, scores = who[order], ids[order], scores[order]
+            place = np.arange(len(who)) - np.searchsorted(who, who)
+            full = np.flatnonzero(place == k - 1)
+            worst[who[full]], worst_id[who[full]] = scores[full], ids[full]
+            left = np.maximum(base[who[full]] - 2.0 * scores[full], 0.0)
+            limit[who[full]] = np.sqrt(left + rounding[who[full]]) + slack[who[full]]
+            held, waiting = [tuple(x[place < k] for x in (who, ids, scores))], 0
+
+        start, ahead = 0, 1
+        while start < len(at):
+            taken = queue[:, start : start + ahead]
+            asks, column = np.nonzero(np.take_along_axis(least, taken, axis=1) <= limit[:, None])
+            if not len(asks):
+                break
+            leaf = taken[asks, column]
+            order = np.argsort(leaf, kind="stable")
+            asks, leaf = asks[order], leaf[order]
+            for asked in np.split(asks, np.flatnonzero(leaf[1:] != leaf[:-1]) + 1):
+                number = int(leaf[0])
+                leaf = leaf[len(asked) :]
+                page = self.pages[at[number]]
+                reach = limit[asked] + slack[asked]
+                lo = np.searchsorted(page["away"], (near[asked, number] - reach).min())
+                hi = np.searchsorted(page["away"], (far[asked, number] + reach).max(), side="right")
+                ids = page["ids"][lo:hi]
+                scores = (rows[asked] @ page["vectors"][lo:hi].T.astype(exact)).astype(np.int64)
+                better = (scores > worst[asked, None]) | ((scores == worst[asked, None]) & (ids < worst_id[asked, None]))
+                who, which = np.nonzero(better & (ids != own[asked, None]))
+                held.append((asked[who], ids[which], scores[who, which]))
+                waiting += len(who)
+                if waiting >= HELD:
+                    rank()
+            rank()
+            start, ahead = start + ahead, 2 * ahead
+        return held[0]
 
 
 def integer_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -166,14 +228,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, vec_id: str = "ve
     trees = saved(dealt.groupBy("block").applyInPandas(build, "block int, tree binary"))
 
     def answer(tree_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
         if len(tree_rows) and len(query_rows):
             tree = MTree.__new__(MTree)
             tree.__dict__.update(pickle.loads(tree_rows["tree"].iloc[0]))
-            for query, key, v in zip(query_rows["vec_id"], query_rows["key"], query_rows["v"]):
-                ids, scores = tree.search(np.asarray(v, np.int64), int(query), k)
-                out += [(query, key, i, s) for i, s in zip(ids.tolist(), scores.tolist())]
-        return pd.DataFrame(out, columns=["query_id", "key", "vec_id", "score"])
+            own, key = query_rows["vec_id"].to_numpy(np.int64), query_rows["key"].to_numpy(np.int64)
+            who, ids, scores = tree.search(stacked(list(query_rows["v"])), own, k)
+            return pd.DataFrame({"query_id": own[who], "key": key[who], "vec_id": ids, "score": scores})
+        return pd.DataFrame(columns=["query_id", "key", "vec_id", "score"], dtype=np.int64)
 
     many_trees = trees.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))))
     parts = asked.select("vec_id", "v", F.xxhash64("vec_id", "v").alias("key"))

@@ -307,6 +307,28 @@ def test_toxicity_on_held_out_rows_and_misspellings(spark):
     assert (held.predicted == (held.doc_id % 3 == 0)).mean() > 0.95 and got.score.between(0, 1).all()
 
 
+def test_topk_of_many_queries_takes_few_products(monkeypatch):
+    rng = np.random.default_rng(4)
+    vectors = np.floor(1024 * rng.normal(0, 0.125, (3000, 16))).astype(np.int64)
+    vectors[1000:1040] = vectors[5]  # ties, one leaf's worth and more
+    ids = rng.permutation(3000)
+    for factor in (1, 2**36):  # with the larger one products are beyond a double
+        tree = topk_search.MTree(ids, vectors * factor, topk_search.Layout(page=32, fan=8))
+        pages, read = tree.pages, []
+        tree.pages = type("Seen", (list,), {"__getitem__": lambda self, i: read.append(i) or pages[i]})()
+        for held in (1 << 20, 50):
+            monkeypatch.setattr(topk_search, "HELD", held)
+            who, found, scores = tree.search(vectors[:300], ids[:300], 10)
+            every = (vectors[:300] @ vectors.T) * factor
+            every[np.arange(300), np.arange(300)] = -(2**63) + 1
+            for q in range(300):
+                order = np.lexsort((ids, -every[q]))[:10]
+                assert found[who == q].tolist() == ids[order].tolist() and scores[who == q].tolist() == every[q][order].tolist()
+        assert len(read) < 2 * 300 * len(pages) / 10  # of two runs; each query alone read most pages
+        monkeypatch.setattr(topk_search, "BOUNDS", 70 * len(pages))
+        assert all((a == b).all() for a, b in zip(tree.search(vectors[:300], ids[:300], 10), (who, found, scores)))
+
+
 def test_weak_labels_find_junk(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = quality_model.score(docs).join(labels.select("doc_id", "quality"), "doc_id").toPandas()
