@@ -315,7 +315,7 @@ def test_topk_of_many_queries_takes_few_products(monkeypatch):
     for factor in (1, 2**36):  # with the larger one products are beyond a double
         tree = topk_search.MTree(ids, vectors * factor, topk_search.Layout(page=32, fan=8))
         pages, read = tree.pages, []
-        tree.pages = type("Seen", (list,), {"__getitem__": lambda self, i: read.append(i) or pages[i]})()
+        tree.pages = type("Seen", (list,), {"__getitem__": lambda self, i: read.append(i) or pages[i]})(pages)
         for held in (1 << 20, 50):
             monkeypatch.setattr(topk_search, "HELD", held)
             who, found, scores = tree.search(vectors[:300], ids[:300], 10)
