@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leafwave.functions import sbf as sc
-from leafwave.functions.timeutil import micros, yyyydoy
+from leafwave.functions.timeutil import yyyydoy
 from leafwave.plans.base import OBS_SQL, PASSES_SQL, obs, passes, query, table
 from leafwave.plans.join_queries import CATALOG_SQL, EPHEM_SQL, catalog, ephem
 from leafwave.sources import filenames as fn
@@ -127,6 +127,10 @@ def rinex2_parse(spark, sf):
     )
 
 
+#: Events of a split of the log; splits follow the order of its lines.
+NMEA_SPLIT = 50_000
+
+
 @query(
     "nmea_parse",
     """WITH l AS (SELECT *, CASE WHEN event_type <> 'signup' THEN ts END AS own FROM events),
@@ -154,7 +158,7 @@ def nmea_parse(spark, sf):
         F.when(F.col("event_type") == "error", broken).otherwise(sealed(gsv)),
     )
     lines = e.select(
-        F.lit("log").alias("path"), F.floor(micros("ts") / F.lit(86_400_000_000)).alias("block"), "event_id",
+        F.lit("log").alias("path"), F.floor(F.col("event_id") / F.lit(NMEA_SPLIT)).alias("block"), "event_id",
         F.posexplode(both).alias("p", "line"),
     )
     lines = lines.where(F.col("line").isNotNull()).select(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from leafwave.sources.lines import fill_forward, read_lines, timestamp_of
+from leafwave.sources.lines import read_lines, timestamp_of
 
 SENTENCE = r"^\$(GPRMC|GNRMC|GPGGA|GNGGA|GPGSV|GLGSV|GAGSV|GBGSV|GNGSV)"
 CHECKED = r"^\$(.+)\*([0-9A-Fa-f]{2})$"
@@ -88,6 +88,34 @@ def _clock(text: Column) -> tuple[Column, Column, Column]:
     )
 
 
+def _kind() -> Column:
+    return F.substring("line", 4, 3)
+
+
+def _fields() -> Column:
+    """Field 0 is the sentence name."""
+    return F.split(F.regexp_extract("line", r"^(.*)\*[^*]*$", 1), ",")
+
+
+def _marks(rows: DataFrame, told: Column) -> DataFrame:
+    """``rows`` with the ``date`` an RMC sets and the ``mark`` of what sets an epoch: an RMC's own, or the clock of a GGA."""
+    rows = rows.withColumn("f", F.when(told, _fields()))
+    field = lambda i: F.get("f", F.lit(i))
+    h, mi, s = _clock(field(1))
+    date = field(9)
+    yy = F.substring(date, 5, 2).try_cast("int")
+    year = yy + F.when(yy < 80, 2000).otherwise(1900)
+    own = timestamp_of(year, F.substring(date, 3, 2).try_cast("int"), F.substring(date, 1, 2).try_cast("int"), h, mi, s)
+    rows = rows.withColumn("own", F.when(_kind() == "RMC", own))
+    told_clock = (_kind() == "GGA") & timestamp_of(F.lit(1970), F.lit(1), F.lit(1), h, mi, s).isNotNull()
+    mark = F.struct(F.col("own").alias("epoch"), h.alias("h"), mi.alias("mi"), s.alias("s"))
+    return rows.withColumns({"date": F.to_date("own"), "mark": F.when(F.col("own").isNotNull() | told_clock, mark)})
+
+
+def _epoch(mark: Column, date: Column) -> Column:
+    return F.coalesce(mark["epoch"], timestamp_of(F.year(date), F.month(date), F.day(date), mark["h"], mark["mi"], mark["s"]))
+
+
 def parse_sentences(lines: DataFrame) -> DataFrame:
     """(path, epoch, sid, SNR) from ordered lines (path, block, pos, line).
 
@@ -95,28 +123,24 @@ def parse_sentences(lines: DataFrame) -> DataFrame:
     GGA the time on the last date; satellites before the first epoch are
     dropped, and the largest SNR of a signal within an epoch counts.
     """
-    rows = lines.withColumn("line", F.trim("line"))
-    rows = rows.where(F.col("line").rlike(SENTENCE)).where(checksum_ok(F.col("line")))
-    rows = rows.withColumn("f", F.split(F.regexp_extract("line", r"^(.*)\*[^*]*$", 1), ","))
-    kind = F.substring("line", 4, 3)
-    field = lambda i: F.get("f", F.lit(i))  # noqa: E731  (field 0 is the sentence name)
-    date = field(9)
-    yy = F.substring(date, 5, 2).try_cast("int")
-    rows = rows.withColumn("kind", kind)
-    ymd = F.struct(
-        (yy + F.when(yy < 80, 2000).otherwise(1900)).alias("y"),
-        F.substring(date, 3, 2).try_cast("int").alias("m"),
-        F.substring(date, 1, 2).try_cast("int").alias("d"),
-    )
-    h, mi, s = _clock(field(1))
-    rmc_epoch = timestamp_of(ymd["y"], ymd["m"], ymd["d"], h, mi, s)
-    own = F.when((F.col("kind") == "RMC") & rmc_epoch.isNotNull(), rmc_epoch)
-    rows = fill_forward(rows, F.when(own.isNotNull(), F.to_date(own)), "last_date")
-    gga_epoch = timestamp_of(F.year("last_date"), F.month("last_date"), F.day("last_date"), h, mi, s)
-    rows = fill_forward(
-        rows, F.when(F.col("kind") == "RMC", own).when(F.col("kind") == "GGA", gga_epoch), "epoch"
-    )
-    gsv = rows.where((F.col("kind") == "GSV") & F.col("epoch").isNotNull())
+    rows = lines.select("path", "block", "pos", F.trim("line").alias("line")).where(F.col("line").rlike(SENTENCE))
+    # One row per split of a file: the last date told in it, and what sets its last epoch.
+    told = _marks(rows, (_kind() != "GSV") & checksum_ok(F.col("line")))
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("pos"))).alias(c)
+    ends = told.groupBy("path", "block").agg(last("date"), last("mark"))
+    across = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("date_before", F.last("date", True).over(across))
+    ends = ends.withColumn("end", _epoch(F.col("mark"), F.coalesce("date", "date_before")))
+    ends = ends.select("path", "block", "date_before", F.last("end", True).over(across).alias("epoch_before"))
+
+    inside = Window.partitionBy("path", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _marks(rows.where(checksum_ok(F.col("line"))), _kind() != "GSV")
+    rows = rows.select("path", "block", "pos", F.when(_kind() == "GSV", F.col("line")).alias("line"), "date", "mark")
+    rows = rows.withColumns({c: F.last(c, True).over(inside) for c in ("date", "mark")})
+    rows = rows.where(F.col("line").isNotNull()).join(ends, ["path", "block"], "left")
+    # An RMC after the GGA would have set the epoch itself, so the last date is still the one the GGA had.
+    epoch = F.coalesce(_epoch(F.col("mark"), F.coalesce("date", "date_before")), "epoch_before")
+    gsv = rows.select("path", epoch.alias("epoch"), "line", _fields().alias("f")).where(F.col("epoch").isNotNull())
     after_header = F.size("f") - 4
     last = F.trim(F.element_at("f", -1))
     has_id = (after_header > 0) & (F.pmod(after_header, F.lit(4)) == 1) & (F.length(last) == 1)

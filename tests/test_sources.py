@@ -269,3 +269,35 @@ def test_names_and_hashes(spark, tmp_path):
     assert fn.parse_canonical(df).select(fn.canonical_name().alias("n")).first()["n"] == p["path"].split("/")[-1]
     (tmp_path / "x").write_bytes(b"abc")
     assert file_registry(spark, str(tmp_path / "x")).first()["file_hash"] == "ba7816bf8f01cfea"
+
+
+def test_nmea_log_in_the_order_of_its_events(spark, tmp_path):
+    """Events whose times start over with each copy: a line's epoch comes from the line before it, not from its day."""
+    import duckdb
+    from leafwave.plans import ORACLES, QUERIES
+
+    events = f"SELECT event_id + i * 1000000 AS event_id, ts, user_id, event_type, value, props FROM '/root/testdata/sf0.001/events.parquet', range(5) r(i)"
+    con = duckdb.connect()
+    con.execute(f"COPY ({events}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    got = sorted(tuple(r) for r in QUERIES["nmea_parse"](spark, str(tmp_path)).select("epoch", "sid", "SNR").collect())
+    assert got == sorted(con.sql(f"SELECT epoch, sid, SNR FROM ({ORACLES['nmea_parse']})").fetchall())
+
+
+def test_nmea_state_crosses_splits(spark):
+    from leafwave.sources.nmea import parse_sentences
+
+    rows = [
+        (0, 1, sentence("GPRMC,235959.00,A,1,N,1,E,0,0,311224,,")),
+        (1, 2, sentence("GPGSV,1,1,01,01,40,083,41")),  # a split that tells no epoch
+        (2, 3, sentence("GPGSV,1,1,01,02,40,083,42")),
+        (2, 4, sentence("GNGGA,000000.50,1,N,1,E,1,08,0.9,5,M,4,M,,")),  # its date comes from another split
+        (2, 5, sentence("GNGGA,99,1,N,1,E,1,08,0.9,5,M,4,M,,")),  # no time
+        (3, 6, sentence("GPGSV,1,1,01,03,40,083,43")),
+        (3, 7, sentence("GPRMC,120000.00,A,1,N,1,E,0,0,,,")),  # no date
+        (3, 8, sentence("GPGSV,1,1,01,04,40,083,44")),
+    ]
+    lines = spark.createDataFrame([("f", *r) for r in rows], "path string, block long, pos long, line string")
+    t0, t1 = datetime(2024, 12, 31, 23, 59, 59), datetime(2024, 12, 31, 0, 0, 0, 500000)
+    got = {r["sid"][:3]: (r["epoch"], r["SNR"]) for r in parse_sentences(lines).collect()}
+    assert got == {"G01": (t0, 41.0), "G02": (t0, 42.0), "G03": (t1, 43.0), "G04": (t1, 44.0)}
