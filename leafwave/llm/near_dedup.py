@@ -306,7 +306,9 @@ def duplicate_classes(docs: DataFrame, how: Bands = Bands(), least: float = SIMI
     texts = saved(signed.groupBy("node").agg(F.first("buckets").alias("buckets"), F.first("n_cells").alias("n_cells"), F.min("doc_id").alias("first_id")))
     asked = texts.select("node", "n_cells", F.explode("buckets").alias("bucket"))
     shared = saved(asked.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
-    left = saved(asked.join(shared, "bucket"))
+    # Most buckets hold one text. Those rows stay out of the shuffle; again the join is what decides.
+    several = possible(asked.withColumnRenamed("bucket", "key"), bloom_blocks(shared.select(F.col("bucket").alias("key"))))
+    left = saved(several.withColumnRenamed("key", "bucket").join(shared, "bucket"))
     nodes = saved(left.groupBy("node").agg(F.sum("size").alias("popular"), F.first("n_cells").alias("n_cells")))
     left = left.select("bucket", "node").join(nodes, "node")
     # The filter spares the shuffle most texts that meet no other; the join is what decides.

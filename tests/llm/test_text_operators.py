@@ -180,6 +180,18 @@ def test_only_texts_in_a_pair_send_their_elements(spark, monkeypatch):
     assert len(sent) == 1 and sent[0].count() < 10
 
 
+def test_only_buckets_of_several_texts_enter_the_join(spark, monkeypatch):
+    sent, possible = [], near_dedup.possible
+    monkeypatch.setattr(near_dedup, "possible", lambda *a: sent.append(possible(*a)) or sent[-1])
+    texts = {i: " ".join(f"w{i}x{j}" for j in range(60)) for i in range(300)}
+    texts[1000] = texts[7] + " more"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()}
+    assert got == {i: 7 if i == 1000 else i for i in texts}
+    rows = [s.count() for s in sent if dict(s.dtypes)["key"] == "bigint"]
+    assert len(rows) == 1 and 2 <= rows[0] <= 2 * near_dedup.Bands().bands  # of 32 * 301
+
+
 # -- search -----------------------------------------------------------------------
 
 
