@@ -34,6 +34,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,10 @@ from leafwave.llm.common import kept_in_worker, only, saved, words
 
 #: Words with a hashed class whose share goes to the tasks; the others meet theirs in a join.
 LISTED = 1 << 16
+#: Parameters a row, when copies of the network are averaged.
+WIDE = 32
+#: Words scored together, when texts are shorter.
+TOGETHER = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -119,19 +124,24 @@ class WordIds(dict):
         return at
 
 
-class Places(WordIds):
-    """Places of words in ``classes`` and ``parts``; words that are not listed share the last ``hashed`` ones."""
+class Places(dict):
+    """Places of listed words in ``classes`` and ``parts``; all others share the last ``hashed`` ones."""
 
     def __init__(self, own: dict[bytes, int], shares: dict[bytes, float], net: Network):
         listed = [*sorted(own, key=own.__getitem__), *shares]
-        super().__init__(dict(zip(listed, range(len(listed)))), net)
-        self.listed = len(listed)
+        super().__init__(zip(listed, range(len(listed))))
+        self.hashed = net.hashed
         hashed = [net.frequent + zlib.crc32(w) % net.hashed for w in shares]
         self.classes = np.array([*range(len(own)), *hashed, *range(net.frequent, net.words)], class_type(net))
         self.parts = np.array([0.0] * len(own) + list(shares.values()) + [0.0] * net.hashed)
 
-    def hashed(self, word: bytes) -> int:
-        return self.listed + zlib.crc32(word) % self.net.hashed
+    def of(self, found: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """The places of a text's words, and those of the words that are not listed."""
+        at = np.fromiter(map(self.get, found, repeat(-1)), np.int32, len(found))
+        new = np.flatnonzero(at < 0)
+        others = [found[i] for i in new.tolist()]
+        at[new] = [len(self) + zlib.crc32(w) % self.hashed for w in others]
+        return at, others
 
 
 def padded(classes: np.ndarray, net: Network) -> np.ndarray:
@@ -155,9 +165,9 @@ def hidden_of(near: Sequence[np.ndarray], embed: np.ndarray) -> np.ndarray:
     return np.tanh(h, out=h)
 
 
-def masked(n: int, turn: int, net: Network) -> np.ndarray:
+def masked(n: int, turn: int, net: Network) -> range:
     """The places of a text of ``n`` words that a round predicts; every place has its turn in ``mask`` rounds."""
-    return np.arange((turn + n) % net.mask, n, net.mask)
+    return range((turn + n) % net.mask, n, net.mask)
 
 
 def train_part(texts: Iterator[str | None], flat: np.ndarray, ids: WordIds, net: Network, turn: int) -> tuple[np.ndarray, int]:
@@ -192,7 +202,7 @@ def train_padded(texts: Iterable[np.ndarray], flat: np.ndarray, net: Network, tu
         sums = p @ ones
         p[np.arange(n), word] -= sums
         per = 1 / (n * sums)[:, None]
-        g_top = (p.T @ (h * per)).T
+        g_top = np.multiply(h.T, per.T, order="C") @ p
         h = h[:, :-1]
         back = (p @ top[:-1].T) * per * (1 - h * h)
         g = np.zeros(embed.size, np.float32)
@@ -208,13 +218,16 @@ def train_padded(texts: Iterable[np.ndarray], flat: np.ndarray, net: Network, tu
         if not n:
             continue
         seen += n
-        at = masked(n, turn, net) + net.side
+        at = masked(n, turn, net)
         if len(at):
-            waiting.append(np.stack([x[at + p] for p in net.places] + [x[at]]))
+            rows = np.empty((len(net.places) + 1, len(at)), x.dtype)
+            for i, p in enumerate([*net.places, 0]):
+                rows[i] = x[net.side + p + at.start : net.side + p + n : net.mask]
+            waiting.append(rows)
             held += len(at)
         if held >= 8 * net.batch:
             rows = np.concatenate(waiting, axis=1)
-            rows = rows[:, rng.permutation(rows.shape[1])]
+            rows = rows.take(rng.permutation(rows.shape[1]), axis=1)
             for i in range(0, rows.shape[1] - net.batch + 1, net.batch):
                 step(rows[:, i : i + net.batch])
             rest = rows.shape[1] % net.batch
@@ -227,21 +240,45 @@ def train_padded(texts: Iterable[np.ndarray], flat: np.ndarray, net: Network, tu
     return flat, seen
 
 
-def log_probabilities(x: np.ndarray, parts: list[np.ndarray], net: Network, block: int = 512) -> float:
+def log_probabilities(x: np.ndarray, parts: list[np.ndarray], net: Network) -> float:
     """Sum over all words of one padded text."""
+    return float(sums_together([x], parts, net)[0])
+
+
+def sums_together(texts: Sequence[np.ndarray], parts: list[np.ndarray], net: Network, block: int = 256) -> np.ndarray:
+    """Sum over all words of each padded text; the texts' words go through the network together."""
     embed, out, bias = parts
-    embed, ones = embed.reshape(-1, net.hidden), np.ones(net.words, np.float32)
-    n, total = len(x) - 2 * net.side, 0.0
-    near = [x[net.side + p : net.side + p + n] + i * (net.words + 1) for i, p in enumerate(net.places)]
-    own = x[net.side : net.side + n]
-    for start in range(0, n, block):
-        at = slice(start, start + block)
-        z = hidden_of([w[at] for w in near], embed) @ out
-        z += bias
-        chosen = z[np.arange(len(z)), own[at]]
-        np.exp(z, out=z)  # weights are clipped, so this stays finite
-        total += float((chosen - np.log(z @ ones)).sum(dtype=np.float64))
-    return total
+    embed, top, ones = embed.reshape(-1, net.hidden), np.vstack([out, bias]), np.ones(net.words, np.float32)
+    x = np.concatenate(texts)
+    at = np.flatnonzero(x != net.words)
+    near, own = [x[at + p] + i * (net.words + 1) for i, p in enumerate(net.places)], x[at]
+    logs = np.empty(len(at), np.float32)
+    h, z = np.ones((block, net.hidden + 1), np.float32), np.empty((block, net.words), np.float32)
+    for start in range(0, len(at), block):
+        n = min(block, len(at) - start)
+        here = slice(start, start + n)
+        h[:n, :-1] = hidden_of([w[here] for w in near], embed)
+        np.matmul(h[:n], top, out=z[:n])
+        chosen = z[np.arange(n), own[here]]
+        np.exp(z[:n], out=z[:n])  # weights are clipped, so this stays finite
+        logs[here] = chosen - np.log(z[:n] @ ones)
+    owner = np.repeat(np.arange(len(texts)), [len(t) - 2 * net.side for t in texts])
+    return np.bincount(owner, weights=logs, minlength=len(texts))
+
+
+def sums(texts: Iterable[np.ndarray], parts: list[np.ndarray], net: Network) -> np.ndarray:
+    """``sums_together`` of any number of padded texts, about ``TOGETHER`` words at a time."""
+    waiting: list[np.ndarray] = []
+    found, held = [np.zeros(0)], 0
+    for x in texts:
+        waiting.append(x)
+        held += len(x)
+        if held >= TOGETHER:
+            found.append(sums_together(waiting, parts, net))
+            waiting, held = [], 0
+    if waiting:
+        found.append(sums_together(waiting, parts, net))
+    return np.concatenate(found)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -301,9 +338,8 @@ def coded(docs: DataFrame, own: dict[bytes, int], shares: dict[bytes, float], ne
             out = []
             for text in batch["text"]:
                 found = text.encode().split() if isinstance(text, str) else []
-                at = np.fromiter(map(places.__getitem__, found), np.int32, len(found))
-                others = b" ".join([found[i] for i in np.flatnonzero(at >= places.listed).tolist()])
-                out.append((len(found), places.classes[at].tobytes(), float(places.parts[at].sum()), others.decode()))
+                at, others = places.of(found)
+                out.append((len(found), places.classes[at].tobytes(), float(places.parts[at].sum()), b" ".join(others).decode()))
             more = pd.DataFrame(out, columns=["n_words", "classes", "within", "others"], index=batch.index)
             yield pd.concat([batch[["deal", "row"]], batch["doc_id"].astype("Int64"), more], axis=1)
 
@@ -328,7 +364,7 @@ def train_coded(codes: DataFrame, net: Network, n_words: int) -> np.ndarray:
     """Parameters averaged over the copies that the partitions train; ``n_words`` is the corpus's number of words."""
     codes = codes.select("deal", "doc_id", "classes").repartition(max(1, -(-n_words // net.copy_words)), "deal")
     codes = codes.sortWithinPartitions("deal", "doc_id", "classes")
-    flat = net.start()
+    flat, values = net.start(), [f"v{i}" for i in range(WIDE)]
     for turn in range(net.rounds):
         shipped = codes.sparkSession.sparkContext.broadcast(flat)
 
@@ -336,14 +372,15 @@ def train_coded(codes: DataFrame, net: Network, n_words: int) -> np.ndarray:
             texts = (padded(np.frombuffer(c, class_type(net)), net) for batch in batches for c in batch["classes"])
             trained, seen = train_padded(texts, shipped.value, net, turn)
             if seen:
-                yield pd.DataFrame({"seen": [seen], "value": [trained]})
-
-        copies = codes.select("classes").mapInPandas(fit, "seen long, value array<float>")
-        mass = F.sum(F.col("v") * F.col("seen")) / F.sum("seen")
-        mean = copies.select("seen", F.posexplode("value").alias("at", "v")).groupBy("at").agg(mass.alias("v"))
-        flat = flat.copy()
-        for row in mean.collect():  # as many rows as the network has parameters
-            flat[row["at"]] = row["v"]
+                rows = np.pad(trained, (0, -len(trained) % WIDE)).reshape(-1, WIDE)
+                yield pd.DataFrame(rows, columns=values).assign(at=np.arange(len(rows)), seen=seen)
+
+        copies = codes.select("classes").mapInPandas(fit, ", ".join(f"{v} float" for v in values) + ", at int, seen long")
+        mean = copies.groupBy("at").agg(*[(F.sum(F.col(v) * F.col("seen")) / F.sum("seen")).alias(v) for v in values])
+        flat = np.pad(flat, (0, -net.size % WIDE))
+        for row in mean.collect():  # as many values as the network has parameters
+            flat[row["at"] * WIDE : (row["at"] + 1) * WIDE] = [row[v] for v in values]
+        flat = flat[: net.size]
     return flat
 
 
@@ -360,8 +397,8 @@ def score(docs: DataFrame, net: Network = Network()) -> DataFrame:
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = net.split(shipped.value)
         for batch in batches:
-            of_classes = [log_probabilities(padded(np.frombuffer(c, class_type(net)), net), parts, net) for c in batch["classes"]]
-            out = batch[["row", "n_words"]].assign(total=np.array(of_classes, float) + batch["within"])
+            of_classes = sums((padded(np.frombuffer(c, class_type(net)), net) for c in batch["classes"]), parts, net)
+            out = batch[["row", "n_words"]].assign(total=of_classes + batch["within"])
             yield out.assign(doc_id=batch["doc_id"].astype("Int64"))[["row", "doc_id", "n_words", "total"]]
 
     scored = codes.select("row", "doc_id", "n_words", "classes", "within").mapInPandas(apply, "row long, doc_id long, n_words long, total double")

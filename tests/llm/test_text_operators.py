@@ -434,6 +434,37 @@ def test_lm_small_part_steps_per_batch():
     assert seen == 4000 and lm_score.log_probabilities(x, net.split(flat), net) / 100 > -2  # at the start -5.5, with one step a round -3.5
 
 
+def test_lm_short_texts_go_through_the_network_together(monkeypatch):
+    net, rng = lm_score.Network(), np.random.default_rng(4)
+    texts = [lm_score.padded(rng.integers(0, net.words, n), net) for n in [0, 1, 0, *rng.integers(0, 30, 400), 700, 0]]
+    embed, out, bias = parts = net.split(rng.normal(0, 0.3, net.size).astype(np.float32))
+    passes, hidden_of = [], lm_score.hidden_of
+    monkeypatch.setattr(lm_score, "hidden_of", lambda *a: passes.append(1) or hidden_of(*a))
+    got = lm_score.sums(iter(texts), parts, net)
+    assert len(passes) < len(texts) / 10 and len(lm_score.sums([], parts, net)) == 0
+    for x, have in zip(texts, got, strict=True):
+        n = len(x) - 2 * net.side
+        z = np.tanh(sum(embed[i][x[net.side + p : net.side + p + n]] for i, p in enumerate(net.places)).astype(float)) @ out + bias
+        assert np.isclose(have, sum(z[i, c] - np.log(np.exp(z[i]).sum()) for i, c in enumerate(x[net.side : net.side + n])), rtol=1e-4)
+
+
+def test_lm_copies_are_averaged_by_words(spark):
+    net = lm_score.Network(frequent=5, hashed=4, hidden=3, copy_words=9000)
+    docs = spark.createDataFrame(lm_corpus(), "doc_id long, text string").select("doc_id", F.lower("text").alias("text"))
+    codes = lm_score.coded(docs, {f"w{i}".encode(): i - 1 for i in range(1, 6)}, {}, net)
+    n_words = codes.agg(F.sum("n_words")).first()[0]
+    got = lm_score.train_coded(codes, net, n_words)
+    dealt = codes.repartition(-(-n_words // net.copy_words), "deal").sortWithinPartitions("deal", "doc_id", "classes")
+    copies = dealt.select("classes", F.spark_partition_id().alias("p")).toPandas().groupby("p").classes.apply(list)
+    assert len(copies) > 2 and net.size % lm_score.WIDE
+    want = net.start()
+    for turn in range(net.rounds):
+        each = [lm_score.train_padded((lm_score.padded(np.frombuffer(c, np.uint8), net) for c in own), want, net, turn) for own in copies]
+        want = sum(flat.astype(float) * seen for flat, seen in each) / n_words
+        want = want.astype(np.float32)
+    assert got.shape == want.shape and np.allclose(got, want, atol=1e-4)
+
+
 def test_toxicity_keeps_the_prior_where_the_bound_holds(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("the same plain words in every text").alias("text"))
     marks = docs.select("doc_id", (F.col("doc_id") % 20 == 0).cast("int").alias("toxic"))
